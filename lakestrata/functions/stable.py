@@ -20,7 +20,7 @@ def key_bucket(n: int, *keys: Column) -> Column:
 
 def seeded_pick(options: Sequence[Any], *keys: Column) -> Column:
     """One of ``options``, chosen by the key: the same on every run and cluster."""
-    return F.array(*[F.lit(o) for o in options]).getItem(key_bucket(len(options), *keys))
+    return F.array(*[F.lit(o) for o in options])[key_bucket(len(options), *keys)]
 
 
 def hash_split(*keys: Column, train: int = 60, val: int = 20) -> Column:

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def key_hash_bucket(columns: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(buckets)).cast("int")
+    """Bucket of a row key; a bit mask, as it is never null and so adds no null filter below the joins."""
+    if buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns]).bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def dense_id(

@@ -74,28 +74,28 @@ def renovations_raw(src: Source) -> DataFrame:
     return intermediate.renovations_raw(raw(src, "survey")).drop("id_renov")
 
 
-def _codebook(src: Source) -> DataFrame:
-    """One variable per part; how many answers it has depends on its size."""
-    answers = {n: F.when(F.col("p_size") % 8 > i, F.concat(F.lit("answer "), F.col("p_type")))
-               for i, n in enumerate(codes.CODEBOOK_ANSWERS)}
-    names = F.array(*[F.lit(c) for c in codes.MULTI_CHOICE_COLUMNS])
-    return src.part.select(
-        names[(F.col("p_partkey") % len(codes.MULTI_CHOICE_COLUMNS)).cast("int")].alias("Name"),
-        F.col("p_partkey").alias("VARNUM"),
-        F.when(F.col("p_type") == "ECONOMY", F.col("p_name"))
-        .when(F.col("p_type") == "SMALL", F.concat(F.lit("Variable filtre - "), F.col("p_name")))
-        .otherwise(F.concat_ws(" - ", "p_type", "p_name", "p_brand")).alias("LABEL"),
-        *[expr.alias(f"_{n}") for n, expr in answers.items()],
+def _book(parts: DataFrame) -> DataFrame:
+    """Variables (name, varnum, n, answer, label) as a wide code book with n answers each."""
+    return parts.select(
+        F.col("name").alias("Name"), F.col("varnum").alias("VARNUM"), F.col("label").alias("LABEL"),
+        *[F.when(F.col("n") > i, F.col("answer")).alias(f"_{n}") for i, n in enumerate(codes.CODEBOOK_ANSWERS)],
     )
 
 
-_NAMES = "[" + ", ".join(f"'{c}'" for c in codes.MULTI_CHOICE_COLUMNS) + "]"
-_DICTIONARY_SQL = f"""
-    WITH book AS (
-        SELECT {_NAMES}[p_partkey % {len(codes.MULTI_CHOICE_COLUMNS)} + 1] AS name, p_partkey AS varnum,
-               p_size % 8 AS n, 'answer ' || p_type AS answer,
-               CASE p_type WHEN 'ECONOMY' THEN p_name WHEN 'SMALL' THEN 'Variable filtre - ' || p_name
-                    ELSE p_type || ' - ' || p_name || ' - ' || p_brand END AS label FROM part),
+_NAMES = {i: c for i, c in enumerate(codes.MULTI_CHOICE_COLUMNS, start=1)}
+_LABEL = """CASE p_type WHEN 'ECONOMY' THEN p_name WHEN 'SMALL' THEN 'Variable filtre - ' || p_name
+            ELSE p_type || ' - ' || p_name || ' - ' || p_brand END"""
+_PICK = "CASE {} " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in _NAMES.items()) + " END"
+# Both engines read these: a variable per part, and a variable per part size.
+_PART_BOOK = f"""SELECT {_PICK.format(f'p_partkey % {len(_NAMES)} + 1')} AS name, p_partkey AS varnum, p_size % 8 AS n,
+                 'answer ' || p_type AS answer, {_LABEL} AS label FROM {{part}}"""
+_SIZE_BOOK = f"""SELECT {_PICK.format('p_size')} AS name, p_size AS varnum, p_size % 8 AS n,
+                 'answer ' || min(p_type) AS answer, min({_LABEL}) AS label FROM {{part}} GROUP BY p_size"""
+
+
+def _dictionary_sql(book: str) -> str:
+    return f"""
+    WITH book AS ({book.format(part='part')}),
     long AS (SELECT *, i AS number, regexp_extract(label, '(.*) - ', 1) AS q, regexp_extract(label, ' - (.*)', 1) AS a
              FROM book, generate_series(0, 7) AS t(i) WHERE i < n)
     SELECT DISTINCT name AS column_name, varnum,
@@ -103,13 +103,12 @@ _DICTIONARY_SQL = f"""
            CASE WHEN q NOT IN ('', 'Variable filtre', 'BLOCS Travaux') AND n <= 3
                 THEN reverse(split_part(reverse(name), '_', 1)) ELSE number::VARCHAR END AS answer_number,
            CASE WHEN q NOT IN ('', 'Variable filtre', 'BLOCS Travaux') AND n <= 3 THEN q ELSE label END AS question
-    FROM long
-"""
+    FROM long"""
 
 
-@query("table_answer_dictionary", _DICTIONARY_SQL)
+@query("table_answer_dictionary", _dictionary_sql(_PART_BOOK))
 def answer_dictionary(src: Source) -> DataFrame:
-    return intermediate.answer_dictionary(_codebook(src)).drop("id_answer")
+    return intermediate.answer_dictionary(_book(src.spark.sql(_PART_BOOK, part=src.part))).drop("id_answer")
 
 
 _TICKED_SQL = " UNION ".join(
@@ -119,13 +118,13 @@ _TICKED_SQL = " UNION ".join(
 
 
 @query("table_answers", oracle(f"""
-    , ticked AS ({_TICKED_SQL}), dictionary AS ({_DICTIONARY_SQL})
+    , ticked AS ({_TICKED_SQL}), dictionary AS ({_dictionary_sql(_SIZE_BOOK)})
     SELECT column_name, answer_number, count(*) AS n_owners, sum(id_owner)::BIGINT AS owner_sum
     FROM ticked JOIN dictionary USING (column_name) GROUP BY column_name, answer_number
 """.strip(), "survey"))
 def answers(src: Source) -> DataFrame:
     """Associations counted per answer: the ids themselves are arbitrary."""
-    dictionary = intermediate.answer_dictionary(_codebook(src))
+    dictionary = cut_lineage(intermediate.answer_dictionary(_book(src.spark.sql(_SIZE_BOOK, part=src.part))))
     pairs = intermediate.answers(raw(src, "survey"), dictionary)
     return pairs.join(dictionary.select("id_answer", "column_name", "answer_number"), ["id_answer"]).groupBy(
         "column_name", "answer_number"
@@ -392,10 +391,12 @@ _CLEAN_HOUSING_SQL = f"""
     WHERE type IN (1, 2) AND h.id_owner IN (SELECT id_owner FROM o WHERE {_COMPLETE}))"""
 
 
-def _clean_housing(src: Source, geography: DataFrame) -> DataFrame:
+def _survey_tables(src: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Dwellings, respondents and works of the survey, the first two stored as several tables read them."""
     survey = raw(src, "survey")
-    return silver.housing_clean(
-        intermediate.housing_raw(survey), intermediate.owners_raw(survey), intermediate.renovations_raw(survey), geography
+    return (
+        cut_lineage(intermediate.housing_raw(survey)), cut_lineage(intermediate.owners_raw(survey)),
+        intermediate.renovations_raw(survey),
     )
 
 
@@ -405,7 +406,7 @@ def _clean_housing(src: Source, geography: DataFrame) -> DataFrame:
 """.strip(), *GEOGRAPHY_TABLES, "survey"))
 def housing_clean(src: Source) -> DataFrame:
     geography = _geography(src)
-    return _by_postal(_clean_housing(src, geography), geography)
+    return _by_postal(silver.housing_clean(*_survey_tables(src), geography), geography)
 
 
 # --- feature sets --------------------------------------------------------------------------------------
@@ -428,11 +429,11 @@ def housing_clean(src: Source) -> DataFrame:
            * EXCLUDE (surface, heating_production), heating_production FROM frame
 """.strip(), *PROFILE_TABLES, *FACT_TABLES, "survey"))
 def survey_feature_sets(src: Source) -> DataFrame:
-    survey = raw(src, "survey")
     geography = _geography(src)
-    owners = silver.owners_clean(intermediate.owners_raw(survey), intermediate.housing_raw(survey))
-    housing, facts = cut_lineage(_clean_housing(src, geography)), cut_lineage(_facts(src, geography))
-    sets = model.survey_feature_sets(cut_lineage(owners), housing, facts, geography)
+    dwellings, respondents, works = _survey_tables(src)
+    owners = cut_lineage(silver.owners_clean(respondents, dwellings))
+    housing = cut_lineage(silver.housing_clean(dwellings, respondents, works, geography))
+    sets = model.survey_feature_sets(owners, housing, cut_lineage(_facts(src, geography)), geography)
     stacked = [
         frame.withColumnRenamed("surface" if name.endswith("surf") else "heating_production", "target")
         .withColumn("set_name", F.lit(name)) for name, frame in sets.items()
