@@ -152,3 +152,33 @@ def score_batch(src: Source) -> DataFrame:
         models.boosted_binary("label", "is_validation", maxIter=10, maxDepth=4, seed=1), standardise=True,
     )
     return models.predict(model, rated.drop("toxic", "quality"), ["n_chars"], "toxic")
+
+
+def _sized_parts(src: Source) -> DataFrame:
+    """Parts with a size class in 1..3 that is unknown for one type."""
+    size_class = F.when(F.col("p_size") < 17, 1).when(F.col("p_size") < 34, 2).otherwise(3)
+    return src.part.select(
+        "p_partkey", "p_brand", F.col("p_retailprice").alias("price"),
+        F.when(F.col("p_type") != "ECONOMY", size_class).alias("size_class"),
+    )
+
+
+@query("op_impute_boosted")
+def impute_boosted(src: Source) -> DataFrame:
+    """Missing size classes from one boosted model per class."""
+    parts = _sized_parts(src)
+    model = models.train_classifier(
+        parts, "size_class", ["price"], ["p_brand"], models.boosted_classes("label", maxIter=3, maxDepth=3), first_class=1
+    )
+    return models.impute_target(parts, model, "size_class", ["price"], first_class=1)
+
+
+@query("op_feature_importance")
+def feature_importance(src: Source) -> DataFrame:
+    """How much each feature of the quality model weighs."""
+    rated = _rated(src).drop("toxic")
+    model = models.train_classifier(
+        rated, "quality", ["n_chars"], ["lang", "source"], models.balanced_forest("label", numTrees=10, maxDepth=4),
+        balanced=True,
+    )
+    return models.feature_importance(model, model.transform(features.coerce_numbers(rated, ["n_chars"])))

@@ -445,3 +445,11 @@ def try_cast_filter(src: Source) -> DataFrame:
 def filter_then_project(src: Source) -> DataFrame:
     kept = (F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
     return src.lineitem.where(kept).select("l_orderkey", "l_partkey")
+
+
+@query("op_pack_features", """
+    SELECT p_partkey, to_json({'size': p_size, 'type': p_type, 'label': p_name}) AS features FROM part
+""")
+def pack_features(src: Source) -> DataFrame:
+    packed = F.struct(F.col("p_size").alias("size"), F.col("p_type").alias("type"), F.col("p_name").alias("label"))
+    return src.part.select("p_partkey", packed.alias("features")).select("p_partkey", F.to_json("features").alias("features"))

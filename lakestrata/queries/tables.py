@@ -295,7 +295,7 @@ def _station_sql(keys: str, measures: list[str], where: str) -> str:
 def _fill_sql(k: int, periods: list[str], measures: list[str]) -> str:
     means = ", ".join(f"{_rounded(f'avg({m})')}" for m in measures)
     same = " AND ".join(f"x.{p} = f{k - 1}.{p}" for p in periods)
-    return f"""f{k} AS (SELECT * FROM f{k - 1} UNION ALL
+    return f"""f{k} AS MATERIALIZED (SELECT * FROM f{k - 1} UNION ALL
         SELECT lpad(src::VARCHAR, 2, '0'), {', '.join(periods)}, {means}
         FROM raw_neighbours JOIN f{k - 1} ON lpad(dst::VARCHAR, 2, '0') = department_number
         WHERE NOT EXISTS (SELECT 1 FROM f{k - 1} x WHERE x.department_number = lpad(src::VARCHAR, 2, '0') AND {same})
@@ -314,12 +314,12 @@ def weather_monthly(src: Source) -> DataFrame:
 
 
 _YEARLY_SQL = f"""
-    f0 AS ({_station_sql('year(day)::INTEGER AS year', codes.YEARLY_MEASURES,
+    f0 AS MATERIALIZED ({_station_sql('year(day)::INTEGER AS year', codes.YEARLY_MEASURES,
                          "WHERE TRY_CAST(dept AS INTEGER) < 96 AND year(day) < 2023")}),
-    {', '.join(_fill_sql(k, ['year'], codes.YEARLY_MEASURES) for k in range(1, 6))}"""
+    {', '.join(_fill_sql(k, ['year'], codes.YEARLY_MEASURES) for k in range(1, 14))}"""
 
 
-@query("table_weather_yearly", oracle(f", {_YEARLY_SQL} SELECT * FROM f5", "weather", "neighbours"))
+@query("table_weather_yearly", oracle(f", {_YEARLY_SQL} SELECT * FROM f13", "weather", "neighbours"))
 def weather_yearly(src: Source) -> DataFrame:
     return silver.weather_yearly(raw(src, "weather"), raw(src, "neighbours"))
 
@@ -445,7 +445,7 @@ def survey_feature_sets(src: Source) -> DataFrame:
 
 
 _SCORING_SQL = f"""{_FACTS_SQL}, {_CERTIFICATES_SQL}, {_YEARLY_SQL},
-    wx AS (SELECT CAST(department_number AS INTEGER) AS d, year AS y, wind_speed, humidity, temp_degree FROM f5),
+    wx AS (SELECT CAST(department_number AS INTEGER) AS d, year AS y, wind_speed, humidity, temp_degree FROM f13),
     scoring AS (
     SELECT id_dpe, c.type, construction_date, surface, heating_system, hot_water_system, heating_production,
            "DPE_consumption"::INTEGER AS "DPE_consumption", "GES_emission"::INTEGER AS "GES_emission",
