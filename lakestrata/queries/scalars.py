@@ -448,7 +448,7 @@ def filter_then_project(src: Source) -> DataFrame:
 
 
 @query("op_pack_features", """
-    SELECT p_partkey, to_json({'size': p_size, 'type': p_type, 'label': p_name}) AS features FROM part
+    SELECT p_partkey, CAST(to_json({'size': p_size, 'type': p_type, 'label': p_name}) AS VARCHAR) AS features FROM part
 """)
 def pack_features(src: Source) -> DataFrame:
     packed = F.struct(F.col("p_size").alias("size"), F.col("p_type").alias("type"), F.col("p_name").alias("label"))
