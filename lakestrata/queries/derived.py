@@ -129,6 +129,13 @@ def _licence(flag: str, columns: str = "") -> str:
 
 _DWELLINGS = ", CASE WHEN l_quantity <> 13 THEN CAST(floor(l_quantity) AS INT) END AS dwellings"
 
+# A ring region by region: the departments of the region without stations lie side by side.
+_POSITION = "({n}.n_regionkey * 5 + floor({n}.n_nationkey / 5))"
+_RING = " UNION ALL ".join(
+    "SELECT a.n_nationkey AS src, b.n_nationkey AS dst FROM {nation} a JOIN {nation} b "
+    f"ON {_POSITION.format(n='b')} = ({_POSITION.format(n='a')} + {step}) % 25" for step in (1, 24)
+)
+
 RAW_SQL: dict[str, str] = {
     "survey": f"SELECT * FROM ({_SURVEY_SELECT}) AS s UNION ALL SELECT * FROM ({_SURVEY_SELECT} WHERE o_orderstatus = 'P') AS r",
     "certificates": _CERTIFICATES,
@@ -161,9 +168,9 @@ RAW_SQL: dict[str, str] = {
                "CAST(270 + o_custkey % 30 AS DOUBLE) AS temp_kelvin, CAST(40 + o_orderkey % 60 AS DOUBLE) AS humidity, "
                "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey % 2000 AS DOUBLE) END AS heigh_clouds, "
                "CAST(o_custkey % 30 AS DOUBLE) AS temp_degree, CAST(c_nationkey * 10 AS DOUBLE) AS altitude "
-               "FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE c_nationkey NOT BETWEEN 5 AND 11",
-    "neighbours": "SELECT CAST(n_nationkey + 1 AS INT) AS src, CAST((n_nationkey + 1) % 25 + 1 AS INT) AS dst FROM {nation} "
-                  "UNION ALL SELECT CAST(n_nationkey + 1 AS INT), CAST((n_nationkey + 24) % 25 + 1 AS INT) FROM {nation}",
+               "FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey "
+               "WHERE n_regionkey <> 2",
+    "neighbours": "SELECT CAST(src + 1 AS INT) AS src, CAST(dst + 1 AS INT) AS dst FROM (" + _RING + ") AS ring",
     "housings": f"SELECT {place('s_suppkey')} AS insee, CAST(s_suppkey % 90 AS INT) AS houses, "
                 "CAST(s_suppkey % 70 AS INT) AS apartments FROM {supplier} WHERE s_acctbal > 0",
 }

@@ -292,35 +292,43 @@ def union_vintages(src: Source) -> DataFrame:
     )
 
 
-# Stations: the nations 5 to 11 have none, so their values come from the ring of neighbours.
-# No nation of the ring is further than 12 steps from another: 13 passes in the oracle include one without effect.
-def _station_days(src: Source, by_region: bool) -> DataFrame:
-    station = src.nation.select(F.col("n_nationkey").alias("station"), "n_regionkey")
-    kept = station.where("n_regionkey <> 2") if by_region else station.where("station NOT BETWEEN 5 AND 11")
+# Region 2 has no stations. Around the first ring its nations lie apart, so one pass reaches them; around the
+# second they lie side by side, so the values come in over several passes. No nation is further than 12 steps
+# from another: the 13 passes of the oracle include one without effect.
+def _station_days(src: Source) -> DataFrame:
+    equipped = src.nation.where("n_regionkey <> 2").select(F.col("n_nationkey").alias("station"))
     return (
         src.events.groupBy((F.col("user_id") % 25).cast("int").alias("station"), F.to_date("ts").alias("day"))
         .agg(F.sum(cents(F.col("value"))).alias("s"), F.count(F.lit(1)).alias("n"), F.min("event_id").alias("low"))
-        .join(kept.select("station"), ["station"])
+        .join(equipped, ["station"])
         .select("station", "day", (F.col("s") / F.col("n")).alias("value"), F.col("low").cast("double").alias("low"))
     )
 
 
-def _ring(src: Source) -> DataFrame:
-    """Each nation and the ones before and after it."""
-    size = 25
-    return src.nation.select(
-        F.col("n_nationkey").alias("src"),
-        F.explode(F.array((F.col("n_nationkey") + 1) % size, (F.col("n_nationkey") + size - 1) % size)).alias("dst"),
+# Position of a nation in each ring: by its key, or region by region.
+_BY_KEY = "{n}.n_nationkey"
+_BY_REGION = "({n}.n_regionkey * 5 + floor({n}.n_nationkey / 5))"
+
+
+def ring_sql(position: str) -> str:
+    """Each nation with the ones before and after it; the same text for both engines."""
+    here, there = position.format(n="a"), position.format(n="b")
+    return " UNION ALL ".join(
+        f"SELECT a.n_nationkey AS src, b.n_nationkey AS dst FROM {{nation}} a JOIN {{nation}} b ON {there} = ({here} + {step}) % 25"
+        for step in (1, 24)
     )
 
 
-def _sql_stations(kept: str) -> str:
+def _ring(src: Source, position: str) -> DataFrame:
+    return src.spark.sql(ring_sql(position), nation=src.nation)
+
+
+def _sql_stations(position: str) -> str:
     return f"""
-    ring AS (SELECT n_nationkey AS src, (n_nationkey + 1) % 25 AS dst FROM nation
-             UNION ALL SELECT n_nationkey, (n_nationkey + 24) % 25 FROM nation),
+    ring AS ({ring_sql(position).format(nation='nation')}),
     f0 AS MATERIALIZED (SELECT CAST(user_id % 25 AS INTEGER) AS station, CAST(ts AS DATE) AS day,
                   sum({sql_cents('value')})::DOUBLE / count(*) AS value, min(event_id)::DOUBLE AS low
-           FROM events JOIN nation ON n_nationkey = user_id % 25 WHERE {kept} GROUP BY 1, 2)"""
+           FROM events JOIN nation ON n_nationkey = user_id % 25 WHERE n_regionkey <> 2 GROUP BY 1, 2)"""
 
 
 def _sql_pass(k: int) -> str:
@@ -333,15 +341,17 @@ def _sql_pass(k: int) -> str:
 
 
 @query("op_neighbour_fill_once", f"""
-    WITH {_sql_stations('n_regionkey <> 2')}, {_sql_pass(1)} SELECT station, day, value, low FROM f1
+    WITH {_sql_stations(_BY_KEY)}, {_sql_pass(1)} SELECT station, day, value, low FROM f1
 """)
 def neighbour_fill_once(src: Source) -> DataFrame:
-    return fill_once(_station_days(src, True), _ring(src), "station", ["day"], ["value", "low"], places=None)
+    return fill_once(_station_days(src), _ring(src, _BY_KEY), "station", ["day"], ["value", "low"], places=None)
 
 
 @query("op_neighbour_fill_fix", f"""
-    WITH {_sql_stations('n_nationkey NOT BETWEEN 5 AND 11')}, {', '.join(_sql_pass(k) for k in range(1, 14))}
+    WITH {_sql_stations(_BY_REGION)}, {', '.join(_sql_pass(k) for k in range(1, 14))}
     SELECT station, day, value, low FROM f13
 """)
 def neighbour_fill_fix(src: Source) -> DataFrame:
-    return fill_to_fixpoint(_station_days(src, False), _ring(src), "station", ["day"], ["value", "low"], places=None)
+    return fill_to_fixpoint(
+        _station_days(src), _ring(src, _BY_REGION), "station", ["day"], ["value", "low"], places=None
+    )
