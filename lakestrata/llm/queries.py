@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestrata.llm import chat, decontam, language, mixing, near_vectors, rans, secrets, simhash
+from lakestrata.llm import automaton, chat, decontam, language, mixing, near_vectors, rans, secrets, simhash, suffixes
 from lakestrata.llm.common import shared_path
 from lakestrata.session import table
 
@@ -22,6 +22,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -80,7 +88,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_mixing, op4_token_output, op5_language, op6_simhash, op7_secrets, op9_near_vectors, op10_chat)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_substring_dedup, op3_mixing, op4_token_output, op5_language, op6_simhash, op7_secrets,
+        op8_suffix_array_dedup, op9_near_vectors, op10_chat,
+    )
+}
 
 _ESCAPED = "replace(replace(replace({}, '&', '&a;'), '<', '&l;'), '[', '&b;')"
 

@@ -64,6 +64,10 @@ def _joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _count(rank: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("bigint")
+
+
 def ownership(found: DataFrame, copied_owners: int) -> DataFrame:
     """``(value, n_repos, n_owners, verdict)`` from ``(value, repo, owner)``: distinct pairs first, then counts, both combined map-side."""
     repos = found.select("value", "repo").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_repos"))
@@ -120,7 +124,7 @@ def scan(
     return (
         rows.alias("r").join(detail.alias("d"), F.expr("r.doc_id <=> d.doc_id and r.same = d.same"), "left")
         .select(
-            "r.doc_id", *(F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("bigint").alias(f"n_{kind}") for k, (kind, _, _) in enumerate(KINDS)),
+            "r.doc_id", *(_count(k).alias(f"n_{kind}") for k, (kind, _, _) in enumerate(KINDS)),
             F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), F.coalesce(_joined(F.col("all")), F.lit("")).alias("spans"),
             zero("n_live"), zero("n_example"), zero("n_shared"),
         )
