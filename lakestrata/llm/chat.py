@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakestrata.llm.common import named, spare
+
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 #: Every control string, ours or another template's, starts with one of these; escaped they can't.
 ESCAPES = (("&", "&a;"), ("<", "&l;"), ("[", "&b;"))
@@ -78,13 +80,15 @@ def canonical(records: DataFrame, record: str = "record", layouts: dict[tuple[st
     layout, broken JSON and null have null turns. Other columns pass through, except those
     named like the two results.
     """
-    keep = [c for c in records.columns if c not in (record, "schema_fp", "turns")]
-    rows = records.select(*keep, F.try_parse_json(record).alias("v")).withColumn("schema_fp", fingerprint(field_paths(F.col("v"))))
+    keep = [c for c in records.columns if c.lower() not in (record.lower(), "schema_fp", "turns")]
+    v = spare(records, "v")
+    rows = records.select(*named(keep), F.try_parse_json(record).alias(v))
+    rows = rows.withColumn("schema_fp", fingerprint(field_paths(F.col(v))))
     turns = F.lit(None).cast(TURNS)
     for paths, mapping in layouts.items():
         known = fingerprint(F.array(*(F.lit(p) for p in sorted(paths))))
-        turns = F.when(F.col("schema_fp") == known, F.expr(mapping).cast(TURNS)).otherwise(turns)
-    return rows.withColumn("turns", turns).drop("v")
+        turns = F.when(F.col("schema_fp") == known, F.expr(mapping.replace("(v,", f"({v},")).cast(TURNS)).otherwise(turns)
+    return rows.withColumn("turns", turns).drop(v)
 
 
 def formatted(rows: DataFrame, turns: str = "turns", loss_role: str = "assistant") -> DataFrame:
@@ -95,20 +99,21 @@ def formatted(rows: DataFrame, turns: str = "turns", loss_role: str = "assistant
     null or empty turns give an empty text without spans.
     """
     role = lambda t: escape(t["role"])
+    held = spare(rows, "parts")
     parts = F.transform(
         F.coalesce(turns, F.array().cast(TURNS)),
         lambda t: F.struct(F.concat(F.lit(TURN), role(t), F.lit(BODY)).alias("head"), escape(t["text"]).alias("body"), F.coalesce(t["role"] == loss_role, F.lit(False)).alias("learn")),
     )
     size = lambda p: F.length(p["head"]) + F.length(p["body"]) + len(END)
     spans = F.aggregate(
-        "_parts", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
+        held, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
         lambda acc, p: F.struct(
             (acc["at"] + size(p)).alias("at"),
             F.when(p["learn"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(p["head"])).alias("start"), F.length(p["body"]).alias("length"))))).otherwise(acc["spans"]).alias("spans"),
         ),
     )
-    text = F.array_join(F.transform("_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
-    return rows.withColumn("_parts", parts).withColumn("formatted", text).withColumn("loss_spans", spans["spans"]).drop("_parts")
+    text = F.array_join(F.transform(held, lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
+    return rows.withColumn(held, parts).withColumn("formatted", text).withColumn("loss_spans", spans["spans"]).drop(held)
 
 
 def read_back(text: Column) -> Column:

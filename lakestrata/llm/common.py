@@ -16,6 +16,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 20
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their literal names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def word_count(text: Column) -> Column:
     """Words of ``text``; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakestrata.llm.common import spare
+
 #: Spaced seeds: 1 = the token counts, 0 = it is ignored, so a substitution there goes unseen.
 MASKS = ("111011011", "110101111")
 #: Seeds and item texts are broadcast up to this size, beyond it they are joined by shuffle.
@@ -81,5 +83,6 @@ def contamination(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that overlap a benchmark item; all others stay as they are, rows with a null id too."""
     key = options.get("doc_id", "doc_id")
-    dirty = contamination(docs, benchmark, **options).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs[key] == dirty["_dirty"], "left_anti")
+    mark = spare(docs, "dirty")
+    dirty = contamination(docs, benchmark, **options).select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(dirty, docs[key] == dirty[mark], "left_anti")

@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import stored, word_count
+from lakestrata.llm.common import named, spare, stored, word_count
 
 #: Sources are few; their totals are planned on the driver, up to this many.
 MAX_SOURCES = 100_000
@@ -114,19 +114,20 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     alike. Columns keep their names and order.
     """
     doc_id, source, text = (options.get(c, c) for c in ("doc_id", "source", "text"))
-    plan = mix(docs, **options).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("part").alias("_part"))
-    plan = plan.where("_size > 0 and (_whole > 0 or _part > 0)").distinct()
-    size = options.get("size")
-    rows = docs.withColumn("_words", word_count(F.col(text)) if size is None else size)
-    met = rows.join(plan, rows[doc_id].eqNullSafe(plan["_id"]) & (rows["_words"] == plan["_size"]) & rows[source].eqNullSafe(plan["_source"]))
-    full = F.when(F.col("_part") == F.col("_size"), F.col("_whole") + 1).otherwise(F.col("_whole"))
-    rest = F.when((F.col("_part") > 0) & (F.col("_part") < F.col("_size")), F.array(F.col("_part"))).otherwise(F.array().cast("array<bigint>"))
-    each = met.withColumn("_take", F.explode(F.concat(F.array_repeat(F.col("_size"), full.cast("int")), rest)))
+    of = {c: spare(docs, f"mix_{c}") for c in ("id", "size", "source", "whole", "part", "words", "take")}
+    plan = mix(docs, **options)
+    plan = plan.select(*(F.col(c).alias(of[k]) for c, k in (("doc_id", "id"), ("size", "size"), ("source", "source"), ("whole", "whole"), ("part", "part"))))
+    whole, part, size, take = (F.col(of[c]) for c in ("whole", "part", "size", "take"))
+    plan = plan.where((size > 0) & ((whole > 0) | (part > 0))).distinct()
+    rows = docs.withColumn(of["words"], word_count(F.col(text)) if options.get("size") is None else options["size"])
+    met = rows.join(plan, rows[doc_id].eqNullSafe(plan[of["id"]]) & (rows[of["words"]] == plan[of["size"]]) & rows[source].eqNullSafe(plan[of["source"]]))
+    full = F.when(part == size, whole + 1).otherwise(whole)
+    rest = F.when((part > 0) & (part < size), F.array(part)).otherwise(F.array().cast("array<bigint>"))
+    each = met.withColumn(of["take"], F.explode(F.concat(F.array_repeat(size, full.cast("int")), rest)))
     words = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.col("_take") < F.col("_size")
-    short = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("_take").cast("int")), " ")).otherwise(F.col(text))
-    each = each.withColumn(text, short)
+    short = F.when(take < size, F.array_join(F.slice(words, F.lit(1), take.cast("int")), " ")).otherwise(F.col(text))
+    out = {text: short}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType.simpleString()
-        each = each.withColumn("n_chars", F.when(cut, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
-    return each.select(*docs.columns)
+        out["n_chars"] = F.when(take < size, F.length(short).cast(kind)).otherwise(F.col("n_chars"))
+    return each.select(*(out[c].alias(c) if c in out else col for c, col in zip(docs.columns, named(docs.columns))))

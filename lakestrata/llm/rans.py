@@ -133,7 +133,7 @@ class Words:
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
             words = text.split()
-            if new := set(words) - self.known.keys():
+            if new := {w for w in words if w not in self.known}:
                 if len(self.known) + len(new) > _CACHE:
                     self.known.clear()
                     new = set(words)

@@ -284,7 +284,8 @@ def _send(block: pa.Table, answers: pa.Table, spec: Spec, shards: int) -> pa.Tab
     gone = (state[entry.of] == _LATER) | after
     own = block.column("block")[0].as_py() if block.num_rows else 0
     out = [(-1 - own, own, _spans(row[gone], pos[gone], pos[gone] + count[gone] + spec.window - 1))] if gone.any() else []
-    at = np.flatnonzero((state[entry.of] == _SEND) & np.append(True, entry.of[1:] != entry.of[:-1])) if len(entry.of) else np.zeros(0, np.int64)
+    # where only other documents count, all places of a segment in its earliest document are still open
+    at = np.flatnonzero((state[entry.of] == _SEND) & ~after & (doc == entry.doc[entry.of]))
     for t, some in _cuts(shard[entry.of[at]]):
         some = at[some]
         texts = [rows[r].symbols[p : p + c + spec.window - 1] for r, p, c in zip(row[some].tolist(), pos[some].tolist(), count[some].tolist())]

@@ -14,8 +14,9 @@ KINDS = (
     ("access", r"AKIA[A-Z0-9]{14,}", 18),
     ("hex", r"[0-9a-f]{16,}", 16),
 )
-#: Runs with a digit in them; those of 16 characters or more count if they are a secret's value elsewhere.
+#: Runs with a digit in them; those of ``SEEN`` characters or more count if they are a secret's value elsewhere.
 BARE = r"[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*"
+SEEN = 12
 _SPAN = "array<struct<start:int,rank:int,stop:int,value:string>>"
 _LEAD = ASSIGN[: ASSIGN.rindex("([A-Za-z0-9")]  # what stands before the value of an assignment
 
@@ -105,7 +106,7 @@ def scan(
         F.when(_may_hold(kind), spans(F.col("text"), pattern, rank, least, _LEAD if kind == "assign" else None)).otherwise(none)
         for rank, (kind, pattern, least) in enumerate(KINDS)
     ]
-    bare = F.when(F.col("text").rlike("[0-9]"), spans(F.col("text"), BARE, len(KINDS), 16)).otherwise(none)
+    bare = F.when(F.col("text").rlike("[0-9]"), spans(F.col("text"), BARE, len(KINDS), SEEN)).otherwise(none)
     hashed = lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), F.xxhash64(s["value"]).alias("value"))
     apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     rows = stored(

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lakestrata.llm.common import local_roots, mix64, stored, utf8
+from lakestrata.llm.common import local_roots, mix64, spare, stored, utf8
 from lakestrata.llm.components import components
 
 FANOUT = 16
@@ -216,5 +216,6 @@ def deduplicate(docs: DataFrame, radius: int = 6, shingle: int = 5, bits: int =
     smallest id of a group.
     """
     groups = near_groups(docs, radius=radius, width=1, confirm=(shingle, bits), doc_id=doc_id, **options)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
+    mark = spare(docs, "gone")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(gone, docs[doc_id] == gone[mark], "left_anti")
