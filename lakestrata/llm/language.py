@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lakestrata.llm.common import named
+
 UNKNOWN = "und"
 BUCKETS = 1 << 14
 _PIECE = 1 << 20  # bytes hashed at a time
@@ -68,10 +70,11 @@ def train(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, b
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     rng = np.random.default_rng(seed)
     y = np.searchsorted(languages, langs)
-    counts = [subwords(t) for t in texts]
-    hit = [np.flatnonzero(c) for c in counts]
-    share = [(c[h] / c.sum()).astype(np.float32) for c, h in zip(counts, hit)]
-    del counts
+    hit, share = [], []
+    for text in texts:
+        counts = subwords(text)
+        hit.append(np.flatnonzero(counts).astype(np.int32))
+        share.append((counts[hit[-1]] / counts.sum()).astype(np.float32))
     order = rng.permutation(len(y))
     held, fit = (order[::5], np.delete(order, np.s_[::5])) if len(y) >= 50 else (order, order)
     embed = rng.normal(0, 0.1, (BUCKETS, dim)).astype(np.float32)
@@ -127,8 +130,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     without languages answers ``und``. Columns of ``docs`` with the names of the three are
     replaced; all others pass through unchanged.
     """
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    rows = docs.select(*keep, F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).alias("_letters"))
+    keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
+    # plain names on the way through Arrow
+    inner = [f"c{k}" for k in range(len(keep))]
+    rows = docs.select(*(c.alias(n) for c, n in zip(named(keep), inner)), F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).alias("letters"))
     known = model.languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +141,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             found = [model.score(t) if known and (t := x.as_py()) is not None else (UNKNOWN, 0.0) for x in batch.column(batch.num_columns - 1)]
             scores = [s for _, s in found]
             added = [pa.array([n for n, _ in found], pa.string()), pa.array(scores, pa.float64()), pa.array([n == UNKNOWN or s < model.reject_below for n, s in found], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [*keep, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [*inner, "lang_pred", "score", "rejected"])
 
-    schema = rows.drop("_letters").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rows.mapInArrow(run, schema)
+    schema = rows.drop("letters").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return rows.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score", "rejected")
