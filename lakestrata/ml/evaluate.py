@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -36,23 +36,70 @@ def binary_metrics(df: DataFrame, label: str, prediction: str, *by: str) -> Data
     })
 
 
-def roc_points(df: DataFrame, label: str, score: str, bins: int = 100) -> DataFrame:
-    """ROC and precision-recall points at ``bins + 1`` score thresholds in [0, 1].
+def _checked(score: str) -> Column:
+    """The score; outside [0, 1] it is an error, null stays null."""
+    value = F.col(score).cast("double")
+    wrong = (value < 0) | (value > 1) | F.isnan(value)
+    return F.when(wrong, F.raise_error(F.lit("score outside [0, 1]")).cast("double")).otherwise(value)
 
-    Rows are counted per score bucket with map-side combining; only those at most
-    ``bins + 1`` counts are ordered to accumulate them from the highest score down.
+
+def _counts(df: DataFrame, label: str, score: Column) -> DataFrame:
+    """Positives and negatives per score, combined map-side; rows without label or score are left out."""
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("_y"), score.alias("score")).where("score IS NOT NULL")
+    positive = F.sum(F.when(F.col("_y") == 1, 1).otherwise(0))
+    return rows.groupBy("score").agg(positive.alias("_p"), (F.count(F.lit(1)) - positive).alias("_q"))
+
+
+def _accumulated(counts: DataFrame, buckets: int) -> DataFrame:
+    """``score, _p, _q, tp, fp, all_p, all_n`` with running counts from the highest score down.
+
+    Scores are cut into ``buckets`` ranges; only the totals of the ranges (at most
+    ``buckets + 1`` rows) meet in one place, inside a range the distinct scores are
+    ordered by one task each.
     """
-    bucket = F.least(F.greatest(F.floor(F.col(score) * bins), F.lit(0)), F.lit(bins)).cast("int")
-    positive = F.sum(F.when(F.col(label) == 1, 1).otherwise(0))
-    counts = df.groupBy(bucket.alias("bucket")).agg(positive.alias("_p"), F.count(F.lit(1)).alias("_n"))
-    down = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = counts.withColumn("_range", F.floor(F.col("score") * buckets).cast("int"))
+    totals = ranged.groupBy("_range").agg(F.sum("_p").alias("_rp"), F.sum("_q").alias("_rq"))
+    above = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    points = counts.select(
-        "bucket", F.sum("_p").over(down).alias("tp"), F.sum(F.col("_n") - F.col("_p")).over(down).alias("fp"),
-        F.sum("_p").over(everything).alias("_all_p"), F.sum(F.col("_n") - F.col("_p")).over(everything).alias("_all_n"),
+    before = totals.select(
+        "_range", F.coalesce(F.sum("_rp").over(above), F.lit(0)).alias("_bp"), F.coalesce(F.sum("_rq").over(above), F.lit(0)).alias("_bq"),
+        F.sum("_rp").over(everything).alias("all_p"), F.sum("_rq").over(everything).alias("all_n"),
     )
+    down = Window.partitionBy("_range").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(F.broadcast(before), "_range").select(
+        "score", "_p", "_q", (F.col("_bp") + F.sum("_p").over(down)).alias("tp"), (F.col("_bq") + F.sum("_q").over(down)).alias("fp"), "all_p", "all_n",
+    )
+
+
+def roc_points(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
+    """ROC and precision-recall points, one per distinct score: the exact curve.
+
+    Scores outside [0, 1] are an error. ``buckets`` only sets how the running counts are
+    spread over tasks.
+    """
+    return _points(_accumulated(_counts(df, label, _checked(score)), buckets))
+
+
+def binned_roc_points(df: DataFrame, label: str, score: str, bins: int = 100) -> DataFrame:
+    """The same at ``bins + 1`` thresholds: scores are rounded down to them, for a curve of bounded length."""
+    return _points(_accumulated(_counts(df, label, F.floor(_checked(score) * bins) / bins), bins))
+
+
+def _points(points: DataFrame) -> DataFrame:
     return points.select(
-        (F.col("bucket") / bins).alias("threshold"), "tp", "fp",
-        F.try_divide("tp", "_all_p").alias("recall"), F.try_divide("fp", "_all_n").alias("false_positive_rate"),
+        F.col("score").alias("threshold"), "tp", "fp",
+        F.try_divide("tp", "all_p").alias("recall"), F.try_divide("fp", "all_n").alias("false_positive_rate"),
         F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
     )
+
+
+def ranking_metrics(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
+    """One row: area under the ROC curve (ties count half), average precision and log loss."""
+    points = _accumulated(_counts(df, label, _checked(score)), buckets)
+    clipped = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-15)), F.lit(1e-15))
+    wins = F.col("_q") * (F.col("tp") - F.col("_p")) + F.col("_q") * F.col("_p") / 2
+    return points.agg(
+        F.try_divide(F.sum(wins), F.max(F.col("all_p") * F.col("all_n"))).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("_p") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.max("all_p")).alias("average_precision"),
+        F.try_divide(-F.sum(F.col("_p") * F.log(clipped) + F.col("_q") * F.log1p(-clipped)), F.max(F.col("all_p") + F.col("all_n"))).alias("log_loss"),
+    )

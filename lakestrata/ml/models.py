@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.functions.measures import observed_or
@@ -17,7 +18,7 @@ CONSUMPTION_FOREST = {"maxDepth": 30, "numTrees": 112}
 EMISSION_FOREST = {"maxDepth": 27, "numTrees": 134}
 PRODUCTION_FOREST = {"maxDepth": 19, "numTrees": 171}
 SURFACE_BOOST = {"maxIter": 241, "stepSize": 0.03542260908465626}
-RENOVATION_BOOST = {
+RETROFIT_BOOST = {
     "maxIter": 254, "stepSize": 0.6660996028542977, "maxDepth": 6, "maxBins": 39,
     "minInstancesPerNode": 96, "subsamplingRate": 0.7940010712056597,
     "featureSubsetStrategy": "0.46238671840939966", "seed": 815171646,
@@ -43,24 +44,35 @@ def boosted_binary(label: str, validation: str | None = None, **params: Any) ->
 
 def train_classifier(
     df: DataFrame, target: str, numeric: Sequence[str], one_hot: Sequence[str], estimator, first_class: int = 0,
-    balanced: bool = False, standardise: bool = False,
+    balanced: bool = False, standardise: bool = False, prepare_on: str | None = None,
 ) -> PipelineModel:
-    """Fit preprocessing and classifier on the labelled rows; labels are shifted to start at 0."""
+    """Fit preprocessing and classifier on the labelled rows; labels are shifted to start at 0.
+
+    ``prepare_on`` is a condition: means, scales and code lists are then learned from
+    those rows alone.
+    """
     labelled = coerce_numbers(df.where(F.col(target).isNotNull()), numeric)
     labelled = labelled.withColumn("label", F.col(target).cast("double") - first_class)
     if balanced:
         labelled = with_class_weights(labelled, "label")
-    return Pipeline(stages=[*feature_stages(numeric, one_hot, standardise), estimator]).fit(labelled)
+    known = labelled.where(prepare_on) if prepare_on else labelled
+    prepared = Pipeline(stages=feature_stages(numeric, one_hot, standardise)).fit(known)
+    return PipelineModel(stages=[*prepared.stages, estimator.fit(prepared.transform(labelled))])
 
 
 def predict(
-    model: PipelineModel, df: DataFrame, numeric: Sequence[str], output: str, first_class: int = 0
+    model: PipelineModel, df: DataFrame, numeric: Sequence[str], output: str, first_class: int = 0,
+    score: str | None = None,
 ) -> DataFrame:
-    """The rows with the predicted class; every input column stays, so no join back by id is needed."""
+    """The rows with the predicted class; every input column stays, so no join back by id is needed.
+
+    ``score`` names a column for the probability of the second class.
+    """
     scored = model.transform(coerce_numbers(df.withColumns({f"_in_{c}": F.col(c) for c in numeric}), numeric))
     return scored.select(
         *[F.col(f"_in_{c}").alias(c) if c in numeric else F.col(c) for c in df.columns],
         (F.col("prediction") + first_class).cast("int").alias(output),
+        *([vector_to_array("probability")[1].alias(score)] if score else []),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,9 +27,10 @@ def event_counts(
     before_year: int | None = None,
 ) -> DataFrame:
     """Sums and non-null counts per (entity, year); ``before_year`` cuts an incomplete last year."""
-    dated = df.withColumn(year, F.year(date))
     if before_year is not None:
-        dated = dated.where(F.col(year) < before_year)
+        # A bound on the date itself reaches the scan; one on its year would not.
+        df = df.where(F.col(date) < F.lit(datetime.date(before_year, 1, 1)))
+    dated = df.withColumn(year, F.year(date))
     aggs = [F.sum(c).alias(n) for n, c in (sums or {}).items()]
     aggs += [F.count(c).alias(n) for n, c in (counts or {}).items()]
     return dated.groupBy(entity, year).agg(*aggs)

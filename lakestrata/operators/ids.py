@@ -24,10 +24,18 @@ def dense_id(
     rows in earlier buckets plus the row's rank inside its bucket. Both parts are
     functions of the row content, so the ids do not depend on partitioning and
     survive task retries with no checkpoint. Only the bucket counts (at most
-    ``buckets`` rows) meet in one place, and only they are broadcast.
+    ``buckets`` rows) meet in one place, and only they are broadcast. A bucket is sorted
+    in one task, so ``buckets`` should be about the number of rows over a million. A
+    ``bucket`` of the caller's must be an integer from 0 to below ``buckets``; another
+    value, or none, is an error.
     """
     keys = list(keys or df.columns)
-    tagged = df.withColumn("_bucket", bucket if bucket is not None else key_hash_bucket(keys, buckets))
+    if bucket is None:
+        bucket = key_hash_bucket(keys, buckets)
+    else:
+        number = bucket.cast("int")
+        bucket = F.when((number >= 0) & (number < buckets), number).otherwise(F.raise_error(F.lit(f"bucket outside 0..{buckets - 1}")).cast("int"))
+    tagged = df.withColumn("_bucket", bucket)
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # Running total over at most `buckets` rows: the one place where a global order is needed.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

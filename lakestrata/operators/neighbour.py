@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from lakestrata.functions.measures import round_measure
 from lakestrata.session import cut_lineage
 
+_FOLD = 6
+
 
 def _means_from(
     source: DataFrame, known: DataFrame, edges: DataFrame, entity: str, periods: Sequence[str],
@@ -27,7 +30,7 @@ def _means_from(
     )
     # Means first: the anti join then compares one row per pair, not one per neighbour.
     means = offered.groupBy(*keys).agg(*[round_measure(F.avg(m), places).alias(m) for m in measures])
-    return means.join(known.select(*keys).distinct(), keys, "left_anti")
+    return means.join(known.select(*keys), keys, "left_anti")
 
 
 def fill_once(
@@ -46,18 +49,20 @@ def fill_once(
 
 def fill_to_fixpoint(
     observed: DataFrame, edges: DataFrame, entity: str, periods: Sequence[str],
-    measures: Sequence[str], places: int | None = 2, max_passes: int | None = None,
+    measures: Sequence[str], places: int | None = 2,
 ) -> DataFrame:
     """Repeat the fill in synchronous passes until no reachable pair is missing.
 
     A pair filled in pass k has no neighbour known before pass k-1 (it would have
     been filled earlier), so its mean is over the rows added by pass k-1. Each
-    pass therefore joins only that frontier with the edges: the total join work
-    is edges × periods, not that times the number of passes. Entities with no
-    path to an observed one end the loop by adding nothing.
+    pass therefore joins only that frontier with the edges; over all passes that is
+    edges × periods. The pairs it offers are held against the keys known so far, which
+    move without their measures. Entities with no path to an observed one end the loop by
+    adding nothing.
 
-    Each frontier is checkpointed to the shared folder, which keeps the plan flat
-    and gives the row count that ends the loop.
+    Each frontier is checkpointed to the shared folder, which gives the row count that
+    ends the loop, and what is known is folded into one checkpoint every ``_FOLD`` passes,
+    so a pass scans a bounded number of parts however long the paths are.
     """
     columns = [entity, *periods, *measures]
     links = cut_lineage(edges)
@@ -65,11 +70,10 @@ def fill_to_fixpoint(
         observed.select(*columns).where(F.col(entity).isNotNull()).dropna("any", subset=list(measures))
     )
     known = frontier
-    passes = 0
-    while max_passes is None or passes < max_passes:
+    for number in itertools.count(1):
         frontier = cut_lineage(_means_from(frontier, known, links, entity, periods, measures, places))
         if frontier.isEmpty():
-            break
+            return known
         known = known.unionByName(frontier)
-        passes += 1
-    return known
+        if number % _FOLD == 0:
+            known = cut_lineage(known)

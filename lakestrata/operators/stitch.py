@@ -7,11 +7,13 @@ number of separators gathered so far (below ``min_fields``) and where the open
 record began. So lines are cut into chunks that run in parallel:
 
 1. per chunk, the outcome for every state it could start in;
-2. the same per block of chunks, by chaining its chunks' outcomes;
-3. the true start of every block (a short chain), then of every chunk;
+2. the same per block of chunks, by chaining its chunks' outcomes, then per block of
+   blocks, and so on until one block is left of each source;
+3. back down level by level, the true start of every block and at last of every chunk;
 4. per chunk, one replay from its true start.
 
-No step holds more than one chunk of lines or one block of outcome tables,
+No step holds more than one chunk of lines or one block of outcome tables, and each
+level is a ``block_chunks``-th of the one below, so the work follows the number of lines
 however long a source is. A line that is complete on its own makes the outcome
 independent of the start, so in healthy data the tables have one entry.
 """
@@ -87,6 +89,23 @@ def _starts(tables: Column, start: Column) -> Column:
     )
 
 
+def _all_starts(tables: DataFrame, limit: int, fan: int, low: int, high: int) -> DataFrame:
+    """(_source, key, start) of every table, whose keys lie between ``low`` and ``high``."""
+    listed = []
+    while not listed or low != high:
+        group = F.floor(F.col("key") / fan).cast("bigint")
+        rows = F.sort_array(F.collect_list(F.struct("key", "ends"))).alias("_tables")
+        listed.append(tables.groupBy("_source", group.alias("_group")).agg(rows))
+        tables = listed[-1].select("_source", F.col("_group").alias("key"), _block_table(F.col("_tables"), limit).alias("ends"))
+        low, high = low // fan, high // fan
+    starts = listed[-1].select("_source", "_group", _start(F.lit(0)).alias("_from"), "_tables")
+    for below in [*reversed(listed[:-1]), None]:
+        found = starts.select("_source", F.inline(_starts(F.col("_tables"), F.col("_from"))))
+        if below is None:
+            return found
+        starts = below.join(found.select("_source", F.col("key").alias("_group"), F.col("start").alias("_from")), ["_source", "_group"])
+
+
 def _pieces(lines: Column, start: Column, limit: int) -> Column:
     """Record pieces of one chunk: position of the record's first line, glued text, is it all of the record."""
     empty = F.array().cast("array<struct<record:bigint,piece:string,whole:boolean>>")
@@ -124,30 +143,30 @@ def _pieces(lines: Column, start: Column, limit: int) -> Column:
 
 def stitch_records(
     lines: DataFrame, source: str, order: str, text: str, min_fields: int = 245,
-    separator: str = ",", chunk_lines: int = 4096, block_chunks: int = 4096,
+    separator: str = ",", chunk_lines: int = 1024, block_chunks: int = 256, skip_blank: bool = True,
 ) -> DataFrame:
     """Complete records as (source, record_start, record).
 
     ``order`` is a bigint line position inside ``source``; gaps are allowed, and a
     page and a line number combine as ``page * page_size + line``. What is left at
     the end of one page continues into the next. Blank lines carry nothing and are
-    skipped. The last record of a source is kept even when it stays short.
+    skipped; with ``skip_blank=False`` they are glued like others, which costs the open
+    record its last character. Null lines are always skipped. The last record of a source is kept even when it stays short.
     ``record_start`` is the position of the record's first line, which orders the
     records without any global numbering.
     """
     limit = min_fields - 1
     line = F.col(text)
     counted = (
-        lines.where(F.length(line) > 0)
+        lines.where(F.length(line) > 0 if skip_blank else line.isNotNull())
         .select(
             F.col(source).alias("_source"), F.col(order).cast("bigint").alias("pos"), line.alias("text"),
             (F.length(line) - F.length(F.replace(line, F.lit(separator), F.lit("")))).alias("seps"),
             line.endswith(separator).cast("int").alias("lost"),
         )
         .withColumn("_chunk", F.floor(F.col("pos") / chunk_lines).cast("bigint"))
-        .withColumn("_block", F.floor(F.col("_chunk") / block_chunks).cast("bigint"))
     )
-    chunk, block = ["_source", "_block", "_chunk"], ["_source", "_block"]
+    chunk = ["_source", "_chunk"]
 
     def in_order(*fields: Column) -> Column:
         return F.sort_array(F.collect_list(F.struct(*fields)))
@@ -157,18 +176,10 @@ def stitch_records(
     chunk_tables = counted.groupBy(*chunk).agg(in_order(*bare).alias("_lines")).select(
         *chunk, _chunk_table(F.col("_lines"), limit).alias("ends")
     )
-    blocks = chunk_tables.groupBy(*block).agg(in_order(F.col("_chunk").alias("key"), F.col("ends")).alias("_tables"))
-    block_starts = (
-        blocks.select(*block, _block_table(F.col("_tables"), limit).alias("ends"))
-        .groupBy("_source").agg(in_order(F.col("_block").alias("key"), F.col("ends")).alias("_tables"))
-        .select("_source", F.inline(_starts(F.col("_tables"), _start(F.lit(0)))))
-        .select("_source", F.col("key").alias("_block"), F.col("start").alias("_block_start"))
-    )
-    chunk_starts = (
-        blocks.join(block_starts, block)
-        .select(*block, F.inline(_starts(F.col("_tables"), F.col("_block_start"))))
-        .select(*block, F.col("key").alias("_chunk"), F.col("start").alias("_start"))
-    )
+    ends = counted.agg(F.min("_chunk"), F.max("_chunk")).first()
+    chunk_starts = _all_starts(
+        chunk_tables.withColumnRenamed("_chunk", "key"), limit, max(2, block_chunks), ends[0] or 0, ends[1] or 0
+    ).select("_source", F.col("key").alias("_chunk"), F.col("start").alias("_start"))
     pieces = (
         counted.groupBy(*chunk).agg(in_order(*bare, F.col("text")).alias("_lines"))
         .join(chunk_starts, chunk)

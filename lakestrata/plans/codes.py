@@ -7,6 +7,9 @@ Where a list follows a rule, the rule is written instead of the list.
 
 from __future__ import annotations
 
+# --- fixed table name in the Intermediate and Gold layers ----------------------------------
+WORKS_TABLE = "Renovation"
+
 # --- survey columns -> table columns -------------------------------------------------------
 OWNER_COLUMNS = {
     "Respondent_Serial": "id_owner", "main_rs1": "gender", "main_rs2_c": "age", "main_rs5": "work_state",
@@ -48,8 +51,8 @@ INCOME_SENTINELS = [10, 11, 99]
 PERSONS_SENTINELS = [99]
 DWELLING_TYPES = [1, 2]
 HEATING_SOURCES = {6: [1, 2], 5: [3, 4, 5], 3: [6, 7], 2: [8, 10], 1: [9], 4: [11]}
-RENOVATION_YEARS = [2014, 2015, 2016]
-FIRST_RENOVATION_YEAR_BASE = 2013
+RETROFIT_YEARS = [2014, 2015, 2016]
+FIRST_RETROFIT_YEAR_BASE = 2013
 
 # --- certificates ------------------------------------------------------------------------------
 GAS = ["Gaz naturel"]
@@ -79,7 +82,7 @@ CONSTRUCTION_LABELS = {
     1: "<1948", 2: "1949-1974", 3: "1975-1981", 4: "1982-1989", 5: "1990-2000", 6: "2001-2011", 7: ">2012",
 }
 # The roof label is fed by the carpentry flag, as in the published tables.
-RENOVATION_LABELS = {
+RETROFIT_LABELS = {
     "renov_walls": "murs", "renov_carpentry": "toiture", "renov_flooring": "plancher", "renov_ceiling": "plafond",
     "renov_energy": "énergie",
 }
@@ -99,13 +102,13 @@ YEARLY_MEASURES = ["wind_speed", "humidity", "temp_degree"]
 NEIGHBOUR_COLUMNS = [f"Voisin_{i}" for i in range(1, 11)]
 
 # --- feature sets --------------------------------------------------------------------------------------
-RENOVATION_FEATURES = [
+RETROFIT_FEATURES = [
     "type", "construction_date", "surface", "heating_system", "hot_water_system", "heating_production",
     "DPE_consumption", "GES_emission", "humidity_0", "wind_speed_0", "temp_degree_0", "humidity_1", "wind_speed_1",
     "temp_degree_1", "humidity_2", "wind_speed_2", "temp_degree_2", "population", "n_development_licence",
     "n_construction_licence", "n_destruction_licence", "n_new_buildings", "department_number",
 ]
-RENOVATION_ONE_HOT = [
+RETROFIT_ONE_HOT = [
     "hot_water_system", "type", "heating_system", "DPE_consumption", "GES_emission", "construction_date",
     "heating_production", "surface",
 ]

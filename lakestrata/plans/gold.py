@@ -36,7 +36,7 @@ def gold_municipality(profile: DataFrame, housings: DataFrame) -> DataFrame:
 def scored_certificates(
     certificates: DataFrame, predicted: DataFrame, municipalities: DataFrame, good_from: int = 2
 ) -> DataFrame:
-    """Scored certificates with renovation flags and display labels.
+    """Scored certificates with retrofit flags and display labels.
 
     ``good_from`` is the insulation quality from which a flag is set.
     """
@@ -78,7 +78,7 @@ def scored_certificates(
     )
 
 
-def gold_renovation(scored: DataFrame, labels: Mapping[str, str] = codes.RENOVATION_LABELS) -> DataFrame:
+def gold_retrofit(scored: DataFrame, labels: Mapping[str, str] = codes.RETROFIT_LABELS) -> DataFrame:
     """(id_dpe, id_municipality, renov_type), one row per flag that is set."""
     return reshape.flags_to_rows(scored, ["id_dpe", "id_municipality"], labels, "renov_type")
 

@@ -57,7 +57,7 @@ def housing_raw(survey: DataFrame) -> DataFrame:
     return distinct_with_id(rows, "id_housing")
 
 
-def renovations_raw(survey: DataFrame) -> DataFrame:
+def works_raw(survey: DataFrame) -> DataFrame:
     """One row per work with a start date."""
     def record(number: int, name: str) -> dict[str, Column]:
         absent = codes.WORK_NOT_ASKED.get(number, ())

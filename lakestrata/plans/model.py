@@ -1,4 +1,4 @@
-"""Model layer: feature sets, imputation of the survey dwellings, renovation scores."""
+"""Model layer: feature sets, imputation of the survey dwellings, retrofit scores."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakestrata.functions.codes import code_number
 from lakestrata.functions.stable import hash_split
@@ -47,16 +47,13 @@ def survey_features(owners: DataFrame, housing: DataFrame, facts: DataFrame, geo
     return _placed(people.join(housing, ["id_owner"], "inner"), "first_date_renov", area_years(facts, geography))
 
 
-def survey_feature_sets(
-    owners: DataFrame, housing: DataFrame, facts: DataFrame, geography: DataFrame
-) -> dict[str, DataFrame]:
+def survey_feature_sets(frame: DataFrame) -> dict[str, DataFrame]:
     """Training (target known) and predicting (target missing) sets for surface and heating production.
 
-    Read from the dwellings before imputation, where targets are still missing.
+    ``frame`` is the stored :func:`survey_features` of the dwellings before imputation,
+    where targets are still missing.
     """
-    frame = survey_features(owners, housing, facts, geography).select(
-        *codes.SURVEY_FEATURES, "surface", "heating_production"
-    )
+    frame = frame.select(*codes.SURVEY_FEATURES, "surface", "heating_production")
     surface = split_by_target(frame, "surface", drop=["heating_production"])
     production = split_by_target(frame, "heating_production", drop=["surface"])
     return {
@@ -69,72 +66,117 @@ def certificate_feature_set(certificates: DataFrame) -> DataFrame:
     return certificates.select(*codes.CERTIFICATE_FEATURES, "GES_emission", "DPE_consumption")
 
 
-def housing_imputed(
-    housing: DataFrame, owners: DataFrame, facts: DataFrame, geography: DataFrame, certificates: DataFrame,
-    settings: Mapping[str, Mapping[str, Any]] | None = None,
-) -> DataFrame:
-    """Surveyed dwellings with surface and heating completed, then grades predicted from certificates.
+#: target -> (name of its settings, numeric features, one-hot features, first class)
+IMPUTED = {
+    "surface": ("surface", SURVEY_NUMERIC, codes.SURVEY_ONE_HOT, 1),
+    "heating_production": ("production", SURVEY_NUMERIC, codes.SURVEY_ONE_HOT, 1),
+    "DPE_consumption": ("consumption", CERTIFICATE_NUMERIC, codes.CERTIFICATE_ONE_HOT, 0),
+    "GES_emission": ("emission", CERTIFICATE_NUMERIC, codes.CERTIFICATE_ONE_HOT, 0),
+}
+
+
+def with_part(df: DataFrame) -> DataFrame:
+    """Rows with the part of the split they belong to; equal rows share it."""
+    return df.withColumn("part", hash_split(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
 
-    Observed values are never replaced. The second pair of models reads the output
-    of the first. ``settings`` overrides the fixed settings per model name.
+
+def fit_imputers(
+    frame: DataFrame, certificates: DataFrame, settings: Mapping[str, Mapping[str, Any]] | None = None,
+) -> dict[str, PipelineModel]:
+    """Models of the four targets, the first two from the survey frame, the grades from the certificate set.
+
+    Both inputs should be stored, as every fit reads them several times. ``settings``
+    overrides the fixed settings per model name.
     """
     chosen = {
         "surface": models.SURFACE_BOOST, "production": models.PRODUCTION_FOREST,
         "consumption": models.CONSUMPTION_FOREST, "emission": models.EMISSION_FOREST, **(settings or {}),
     }
-    frame = survey_features(owners, housing, facts, geography)
-    surface = models.train_classifier(
-        frame, "surface", SURVEY_NUMERIC, codes.SURVEY_ONE_HOT,
-        models.boosted_classes("label", **chosen["surface"]), first_class=1,
-    )
-    production = models.train_classifier(
-        frame, "heating_production", SURVEY_NUMERIC, codes.SURVEY_ONE_HOT,
-        models.balanced_forest("label", **chosen["production"]), first_class=1, balanced=True,
-    )
-    completed = models.impute_target(frame, surface, "surface", SURVEY_NUMERIC, first_class=1)
-    completed = models.impute_target(completed, production, "heating_production", SURVEY_NUMERIC, first_class=1)
-    completed = completed.drop("DPE_consumption", "GES_emission")
-    for target, name in (("DPE_consumption", "consumption"), ("GES_emission", "emission")):
-        grade = models.train_classifier(
-            certificate_feature_set(certificates), target, CERTIFICATE_NUMERIC, codes.CERTIFICATE_ONE_HOT,
-            models.balanced_forest("label", **chosen[name]), balanced=True,
+    fitted = {}
+    for target, (name, numeric, one_hot, first) in IMPUTED.items():
+        boosted = target == "surface"
+        make = models.boosted_classes if boosted else models.balanced_forest
+        fitted[target] = models.train_classifier(
+            frame if first else certificates, target, numeric, one_hot, make("label", **chosen[name]),
+            first_class=first, balanced=not boosted,
         )
-        completed = models.predict(grade, completed, CERTIFICATE_NUMERIC, target)
-    return completed.select(*housing.columns).distinct()
+    return fitted
 
 
-def renovation_training(housing: DataFrame, facts: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
+def housing_imputed(frame: DataFrame, fitted: Mapping[str, PipelineModel], columns: list[str]) -> DataFrame:
+    """Surveyed dwellings with surface and heating completed, then grades predicted from certificates.
+
+    Observed values are never replaced. The second pair of models reads the output of the first.
+    """
+    completed = frame
+    for target in ("surface", "heating_production"):
+        completed = models.impute_target(completed, fitted[target], target, SURVEY_NUMERIC, first_class=1)
+    completed = completed.drop("DPE_consumption", "GES_emission")
+    for target in ("DPE_consumption", "GES_emission"):
+        completed = models.predict(fitted[target], completed, CERTIFICATE_NUMERIC, target)
+    return completed.select(*columns).distinct()
+
+
+def imputer_quality(
+    frame: DataFrame, certificates: DataFrame, settings: Mapping[str, Mapping[str, Any]] | None = None,
+) -> DataFrame:
+    """(target, actual, predicted, count, share, micro_f1) on a part that models of the same settings never saw."""
+    seen, known = with_part(frame), with_part(certificates)
+    trial = fit_imputers(seen.where("part <> 'test'"), known.where("part <> 'test'"), settings)
+    everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = None
+    for target, (_, numeric, _, first) in IMPUTED.items():
+        held = (seen if first else known).where("part = 'test'").where(F.col(target).isNotNull())
+        held = held.withColumn("actual", F.col(target).cast("int"))
+        scored = models.predict(trial[target], held, numeric, "predicted", first).select("actual", "predicted")
+        cells = evaluate.confusion_matrix(scored, "actual", "predicted")
+        right = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0))
+        # One row per pair of classes from here on.
+        rows = cells.withColumn("micro_f1", right.over(everything) / F.sum("count").over(everything)).withColumn("target", F.lit(target))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def retrofit_training(housing: DataFrame, facts: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
     """id_owner, the 23 features and whether works were done."""
     placed = _placed(housing, "first_date_renov", area_years(facts, geography, weather))
-    return placed.select("id_owner", *codes.RENOVATION_FEATURES, "has_done_renov")
+    return placed.select("id_owner", *codes.RETROFIT_FEATURES, "has_done_renov")
 
 
-def renovation_scoring(certificates: DataFrame, facts: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
+def retrofit_scoring(certificates: DataFrame, facts: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
     """id_dpe, the 23 features and the still empty score."""
     placed = _placed(certificates, "dpe_date", area_years(facts, geography, weather))
     return placed.select("id_dpe", *[
         F.col(c).cast("int") if c in ("DPE_consumption", "GES_emission") else F.col(c)
-        for c in codes.RENOVATION_FEATURES
+        for c in codes.RETROFIT_FEATURES
     ], "has_to_renov")
 
 
-def train_renovation(training: DataFrame, settings: Mapping[str, Any] | None = None) -> PipelineModel:
-    """Boosted trees on the training part, stopping early on the validation part; the test part is held out."""
+def train_retrofit(training: DataFrame, settings: Mapping[str, Any] | None = None) -> PipelineModel:
+    """Boosted trees on the training part, stopping early on the validation part; the test part is held out.
+
+    Means, scales and code lists come from the training part alone.
+    """
     split = training.withColumn("part", hash_split(F.col("id_owner"))).where("part <> 'test'")
     flagged = split.withColumn("is_validation", F.col("part") == "val")
     return models.train_classifier(
-        flagged, "has_done_renov", codes.RENOVATION_FEATURES, codes.RENOVATION_ONE_HOT,
-        models.boosted_binary("label", "is_validation", **(settings or models.RENOVATION_BOOST)), standardise=True,
+        flagged, "has_done_renov", codes.RETROFIT_FEATURES, codes.RETROFIT_ONE_HOT,
+        models.boosted_binary("label", "is_validation", **(settings or models.RETROFIT_BOOST)), standardise=True,
+        prepare_on="not is_validation",
     )
 
 
-def renovation_quality(training: DataFrame, model: PipelineModel) -> DataFrame:
+def retrofit_quality(training: DataFrame, model: PipelineModel) -> DataFrame:
     """Metrics per part; only the test part was never seen."""
     scored = models.predict(
-        model, training.withColumn("part", hash_split(F.col("id_owner"))), codes.RENOVATION_FEATURES, "predicted"
+        model, training.withColumn("part", hash_split(F.col("id_owner"))), codes.RETROFIT_FEATURES, "predicted", score="score"
     )
-    return evaluate.binary_metrics(scored, "has_done_renov", "predicted", "part")
+    ranked = None
+    for part in ("train", "val", "test"):
+        rows = evaluate.ranking_metrics(scored.where(F.col("part") == part), "has_done_renov", "score").withColumn("part", F.lit(part))
+        ranked = rows if ranked is None else ranked.unionByName(rows)
+    return evaluate.binary_metrics(scored, "has_done_renov", "predicted", "part").join(ranked, "part", "left")
 
 
 def predicted_renov(scoring: DataFrame, model: PipelineModel) -> DataFrame:
-    return models.predict(model, scoring.drop("has_to_renov"), codes.RENOVATION_FEATURES, "has_to_renov")
+    return models.predict(model, scoring.drop("has_to_renov"), codes.RETROFIT_FEATURES, "has_to_renov")

@@ -47,10 +47,10 @@ def file_schema(spark: SparkSession, path: str, sep: str, types: Mapping[str, st
     return ", ".join(f"`{n}` {types.get(n.replace(',', ''), 'string')}" for n in names)
 
 
-def read_raw(spark: SparkSession, name: str, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, name: str, path: str, malformed: str | None = None) -> DataFrame:
     """One raw table by its name; certificate tables lose whole-row repeats."""
     sep, types = RAW_FILES[name]
-    df = read_delimited(spark, path, file_schema(spark, path, sep, types), sep)
+    df = read_delimited(spark, path, file_schema(spark, path, sep, types), sep, malformed=malformed)
     if name == "weather":
         df = clean_headers(df, ",")
     if name == "code_commune":

@@ -6,11 +6,44 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.operators.aggregate import row_audit
-from lakestrata.plans import gold, intermediate, model, silver
-from lakestrata.sources.files import Lake
+from lakestrata.plans import codes, gold, intermediate, model, raw, silver
+from lakestrata.sources.documents import housing_table
+from lakestrata.sources.files import Lake, read_broken_records, read_delimited
+
+
+MALFORMED = "_malformed"
+
+
+def build_raw(lake: Lake, paths: Mapping[str, str], broken: tuple[str, ...] = ()) -> DataFrame:
+    """Ingest every listed file into Datalake: table name -> path.
+
+    Delimited tables are those of ``raw.RAW_FILES``; the ones named in ``broken`` have their
+    records stitched first. ``codebook`` is delimited text of text columns,
+    ``neighbouring_dep`` adjacency text, ``housings`` a parquet table of documents. Lines
+    that didn't fit their types stay in the column ``_malformed`` of their table; the result
+    (also stored as ``Datalake.ingest_audit``) counts rows and such lines per table.
+    """
+    spark, counts = lake.spark, None
+    for name, path in paths.items():
+        if name == "neighbouring_dep":
+            df = raw.neighbour_edges(spark.read.text(path))
+        elif name == "housings":
+            df = housing_table(spark.read.parquet(path))
+        elif name == "codebook":
+            df = read_delimited(spark, path, raw.file_schema(spark, path, ";", {}), ";", malformed=MALFORMED)
+        elif name in broken:
+            sep, types = raw.RAW_FILES[name]
+            df = read_broken_records(spark, path, types, sep, malformed=MALFORMED).distinct()
+        else:
+            df = raw.read_raw(spark, name, path, MALFORMED)
+        table = lake.write(df, "Datalake", name)
+        bad = F.count(MALFORMED) if MALFORMED in table.columns else F.lit(0)
+        row = table.agg(F.count(F.lit(1)).alias("n_rows"), bad.cast("bigint").alias("n_malformed")).select(F.lit(name).alias("table_name"), "*")
+        counts = row if counts is None else counts.unionByName(row)
+    return lake.write(counts, "Datalake", "ingest_audit")
 
 
 def build_intermediate(lake: Lake) -> None:
@@ -23,7 +56,7 @@ def build_intermediate(lake: Lake) -> None:
     lake.write(intermediate.answers(raw["tremi"], dictionary), "Intermediate", "Answer")
     lake.write(intermediate.owners_raw(raw["tremi"]), "Intermediate", "Owner")
     lake.write(intermediate.housing_raw(raw["tremi"]), "Intermediate", "Housing")
-    lake.write(intermediate.renovations_raw(raw["tremi"]), "Intermediate", "Renovation")
+    lake.write(intermediate.works_raw(raw["tremi"]), "Intermediate", codes.WORKS_TABLE)
     lake.write(intermediate.municipality_profile(
         raw["code_commune"], raw["pop_commune_2016"], raw["pop_department_2016"], raw["former_new_region"],
         raw["development_licence"], raw["construction_licence_2016"], raw["destruction_licence"], raw["elec"],
@@ -39,7 +72,7 @@ def build_silver(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None =
         "neighbouring_dep",
     )}
     owners_raw, housing_raw, works, profile = (
-        lake.read("Intermediate", name) for name in ("Owner", "Housing", "Renovation", "Municipality")
+        lake.read("Intermediate", name) for name in ("Owner", "Housing", codes.WORKS_TABLE, "Municipality")
     )
     geography = lake.write(silver.postal_geography(profile), "Silver", "Municipality")
     facts = lake.write(silver.municipality_year_facts(
@@ -51,36 +84,55 @@ def build_silver(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None =
     certificates = lake.write(silver.certificates_clean(raw["dpe_france_2021"], geography), "Silver", "DPE")
     # Kept beside the imputed table: the feature sets need the missing targets.
     clean = lake.write(silver.housing_clean(housing_raw, owners_raw, works, geography), "Silver", "Housing_clean")
-    lake.write(
-        model.housing_imputed(clean, owners, facts, geography, certificates, settings), "Silver", "Housing"
-    )
+    frame = lake.write(model.survey_features(owners, clean, facts, geography), "Model", "survey_features")
+    grades = lake.write(model.certificate_feature_set(certificates), "Model", "training_dpe_cat")
+    fitted = model.fit_imputers(frame, grades, settings)
+    for target, one in fitted.items():
+        one.write().overwrite().save(lake.model_path(target))
+    lake.write(model.housing_imputed(frame, fitted, clean.columns), "Silver", "Housing")
+
+
+def evaluate_imputers(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None = None) -> DataFrame:
+    """Held-out quality of the four imputers, written to Model; doubles the cost of fitting them."""
+    frame, grades = lake.read("Model", "survey_features"), lake.read("Model", "training_dpe_cat")
+    return lake.write(model.imputer_quality(frame, grades, settings), "Model", "imputer_quality")
 
 
 def build_model(lake: Lake, boost: Mapping[str, Any] | None = None) -> PipelineModel:
-    owners, housing, clean, facts, geography, weather, certificates = (
-        lake.read("Silver", name)
-        for name in ("Owner", "Housing", "Housing_clean", "Municipality_info", "Municipality", "Weather", "DPE")
+    housing, facts, geography, weather, certificates = (
+        lake.read("Silver", name) for name in ("Housing", "Municipality_info", "Municipality", "Weather", "DPE")
     )
-    for name, frame in model.survey_feature_sets(owners, clean, facts, geography).items():
+    for name, frame in model.survey_feature_sets(lake.read("Model", "survey_features")).items():
         lake.write(frame, "Model", name)
-    lake.write(model.certificate_feature_set(certificates), "Model", "training_dpe_cat")
-    training = model.renovation_training(housing, facts, geography, weather)
+    training = lake.write(model.retrofit_training(housing, facts, geography, weather), "Model", "training_renov")
     lake.write(training.drop("id_owner"), "Model", "training_renov_no_diff")
-    fitted = model.train_renovation(training, boost)
-    scoring = model.renovation_scoring(certificates, facts, geography, weather)
-    lake.write(model.predicted_renov(scoring, fitted), "Model", "predicted_renov")
+    fitted = model.train_retrofit(training, boost)
+    fitted.write().overwrite().save(lake.model_path("retrofit"))
+    lake.write(model.retrofit_quality(training, fitted), "Model", "retrofit_quality")
+    score_certificates(lake, fitted)
     return fitted
 
 
+def score_certificates(lake: Lake, fitted: PipelineModel | None = None) -> DataFrame:
+    """Scores of all certificates, by the stored model unless one is given."""
+    certificates, facts, geography, weather = (
+        lake.read("Silver", name) for name in ("DPE", "Municipality_info", "Municipality", "Weather")
+    )
+    fitted = fitted or PipelineModel.load(lake.model_path("retrofit"))
+    scoring = model.retrofit_scoring(certificates, facts, geography, weather)
+    return lake.write(model.predicted_renov(scoring, fitted), "Model", "predicted_renov")
+
+
 def build_gold(lake: Lake) -> None:
     municipalities = lake.write(
         gold.gold_municipality(lake.read("Intermediate", "Municipality"), lake.read("Datalake", "housings")),
         "Gold", "Municipality",
     )
-    scored = gold.scored_certificates(
+    # The join of the two largest tables is stored once and read by both serving tables.
+    scored = lake.write(gold.scored_certificates(
         lake.read("Datalake", "dpe_france_2021"), lake.read("Model", "predicted_renov"), municipalities
-    )
-    lake.write(gold.gold_renovation(scored), "Gold", "Renovation")
+    ), "Gold", "scored")
+    lake.write(gold.gold_retrofit(scored), "Gold", codes.WORKS_TABLE)
     lake.write(gold.gold_segments(scored), "Gold", "dpe")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestrata.functions import measures, predicates, recode
@@ -21,11 +23,11 @@ FACT_MEASURES = [
 def weather_yearly(weather: DataFrame, neighbouring_dep: DataFrame, last_year: int = 2022) -> DataFrame:
     """Mainland department × year averages, completed from neighbours until nothing reachable is missing."""
     shown = {name: c for c, name in codes.WEATHER_COLUMNS.items()}
-    stations = weather.select(
+    stations = weather.where(F.col("Date") < F.lit(datetime.date(last_year + 1, 1, 1))).select(
         zero_pad(F.col(f"`{codes.WEATHER_DEPARTMENT}`"), 2).alias("department_number"), F.year("Date").alias("year"),
         *[F.col(f"`{shown[m]}`").alias(m) for m in codes.YEARLY_MEASURES],
     )
-    inside = predicates.code_in_scope(F.col("department_number"), codes.OVERSEAS_FROM) & (F.col("year") <= last_year)
+    inside = predicates.code_in_scope(F.col("department_number"), codes.OVERSEAS_FROM)
     observed = aggregate.group_averages(stations.where(inside), ["department_number", "year"], codes.YEARLY_MEASURES)
     return fill_to_fixpoint(
         observed, department_edges(neighbouring_dep), "department_number", ["year"], codes.YEARLY_MEASURES
@@ -61,11 +63,12 @@ def population_panel(pop_commune_2016: DataFrame, pop_commune_2020: DataFrame, c
     code_2020 = composite_key(F.col("CODDEP"), F.col("CODCOM"), 3)
     newer = pop_commune_2020.select(code_2020.alias("insee_code"), F.col("PMUN").cast("bigint").alias("population"))
     older = pop_commune_2016.select(F.col("DEPCOM").alias("insee_code"), F.col("PMUN").cast("bigint").alias("population"))
-    people = aggregate.union_vintages(joins.year_panel(newer, 2019, 2022), joins.year_panel(older, 2012, 2018))
     places = code_commune.select(
         F.col("Code_commune_INSEE").alias("insee_code"), zero_pad(F.col("Code_postal"), 5).alias("postal_code")
     ).distinct()
-    return joins.attach_dimensions(people, (places, ["insee_code"]))
+    # Repeats go and places come at municipality grain; the years are expanded last, in the row's task.
+    newer, older = (joins.attach_dimensions(people.distinct(), (places, ["insee_code"])) for people in (newer, older))
+    return aggregate.union_vintages(joins.year_panel(newer, 2019, 2022), joins.year_panel(older, 2012, 2018))
 
 
 def municipality_year_facts(
@@ -86,12 +89,15 @@ def municipality_year_facts(
         construction = aggregate.roll_up(
             construction, ["insee_code", "year"], ["n_new_buildings", "n_construction_licence"]
         )
+    else:
+        # Equal rows of both files count once; the panel itself then has no repeats to look for.
+        construction = construction.distinct()
     facts = joins.zero_filled(
         population_panel(pop_commune_2016, pop_commune_2020, code_commune), ["insee_code", "year"], construction,
         _licence_years(destruction_licence, "n_destruction_licence"),
         _licence_years(development_licence, "n_development_licence"), fill=FACT_MEASURES,
     )
-    postal = aggregate.roll_up(facts.distinct(), ["postal_code", "year"], FACT_MEASURES)
+    postal = aggregate.roll_up(facts, ["postal_code", "year"], FACT_MEASURES)
     inside = predicates.code_in_scope(F.col("postal_code"), codes.OVERSEAS_FROM * 1000)
     ids = geography.select("id_municipality", "postal_code")
     return joins.attach_dimensions(postal.where(inside), (ids, ["postal_code"])).select(
@@ -181,12 +187,12 @@ def certificates_clean(certificates: DataFrame, geography: DataFrame) -> DataFra
     )
 
 
-def housing_clean(housing: DataFrame, owners: DataFrame, renovations: DataFrame, geography: DataFrame) -> DataFrame:
+def housing_clean(housing: DataFrame, owners: DataFrame, works: DataFrame, geography: DataFrame) -> DataFrame:
     """Surveyed dwellings of complete respondents, recoded; nothing is imputed yet.
 
     A respondent without works gets one of the survey years, picked by id.
     """
-    works = aggregate.first_event(renovations, "id_owner", "start_date", "first_date_renov")
+    works = aggregate.first_event(works, "id_owner", "start_date", "first_date_renov")
     kept = housing.where(F.col("type").isin(codes.DWELLING_TYPES))
     dwellings = joins.having_id_in(kept, complete_respondents(owners), "id_owner").join(works, ["id_owner"], "left")
     placed = joins.attach_dimensions(dwellings, (geography.select("id_municipality", "postal_code"), ["postal_code"]))
@@ -198,7 +204,7 @@ def housing_clean(housing: DataFrame, owners: DataFrame, renovations: DataFrame,
         recode.recode(F.col("hot_water_system"), one_two).alias("hot_water_system"),
         recode.bin_left_closed(F.col("surface"), codes.SURFACE_BOUNDS).alias("surface"),
         recode.recode(F.col("has_done_renov"), one_two).alias("has_done_renov"),
-        F.when(F.col("has_done_renov") == 1, seeded_pick(codes.RENOVATION_YEARS, F.col("id_owner")))
-        .otherwise(F.col("first_date_renov") + codes.FIRST_RENOVATION_YEAR_BASE).alias("first_date_renov"),
+        F.when(F.col("has_done_renov") == 1, seeded_pick(codes.RETROFIT_YEARS, F.col("id_owner")))
+        .otherwise(F.col("first_date_renov") + codes.FIRST_RETROFIT_YEAR_BASE).alias("first_date_renov"),
         recode.typed_null("string").alias("DPE_consumption"), recode.typed_null("string").alias("GES_emission"),
     )

@@ -128,7 +128,35 @@ def binary_metrics(src: Source) -> DataFrame:
     FROM c
 """)
 def roc_points(src: Source) -> DataFrame:
-    return evaluate.roc_points(_rule_scores(src), "quality", "score", bins=64)
+    return evaluate.binned_roc_points(_rule_scores(src), "quality", "score", bins=64)
+
+
+_EXACT_COUNTS = f"""b AS (SELECT score, sum(quality)::BIGINT AS p, count(*) - sum(quality)::BIGINT AS q FROM ({_RULE_SCORES}) GROUP BY 1),
+    c AS (SELECT score, p, q, sum(p) OVER w::BIGINT AS tp, sum(q) OVER w::BIGINT AS fp,
+                 sum(p) OVER () AS all_p, sum(q) OVER () AS all_n
+          FROM b WINDOW w AS (ORDER BY score DESC))"""
+
+
+@query("op_roc_exact", f"""
+    WITH {_EXACT_COUNTS}
+    SELECT score::DOUBLE AS threshold, tp, fp, tp::DOUBLE / nullif(all_p, 0)::DOUBLE AS recall,
+           fp::DOUBLE / nullif(all_n, 0)::DOUBLE AS false_positive_rate, tp::DOUBLE / nullif(tp + fp, 0) AS precision
+    FROM c
+""")
+def roc_exact(src: Source) -> DataFrame:
+    return evaluate.roc_points(_rule_scores(src), "quality", "score")
+
+
+@query("op_ranking_metrics", f"""
+    WITH {_EXACT_COUNTS}
+    SELECT round(sum(q * (tp - p) + q * p / 2.0) / max(all_p * all_n)::DOUBLE, 9) AS roc_auc,
+           round(sum(p::DOUBLE * tp / (tp + fp)) / max(all_p)::DOUBLE, 9) AS average_precision
+    FROM c
+""")
+def ranking_metrics(src: Source) -> DataFrame:
+    """Log loss is left to the tests: the scores of this rule include 0 and 1."""
+    found = evaluate.ranking_metrics(_rule_scores(src), "quality", "score")
+    return found.select(F.round("roc_auc", 9).alias("roc_auc"), F.round("average_precision", 9).alias("average_precision"))
 
 
 @query("op_impute_model")

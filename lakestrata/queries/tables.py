@@ -69,9 +69,9 @@ _WORKS_SQL = "SELECT DISTINCT * FROM (" + " UNION ALL ".join(
 ) + ") WHERE start_date IS NOT NULL"
 
 
-@query("table_renovations_raw", oracle(_WORKS_SQL, "survey"))
-def renovations_raw(src: Source) -> DataFrame:
-    return intermediate.renovations_raw(raw(src, "survey")).drop("id_renov")
+@query("table_works_raw", oracle(_WORKS_SQL, "survey"))
+def works_raw(src: Source) -> DataFrame:
+    return intermediate.works_raw(raw(src, "survey")).drop("id_renov")
 
 
 def _book(parts: DataFrame) -> DataFrame:
@@ -396,7 +396,7 @@ def _survey_tables(src: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
     survey = raw(src, "survey")
     return (
         cut_lineage(intermediate.housing_raw(survey)), cut_lineage(intermediate.owners_raw(survey)),
-        intermediate.renovations_raw(survey),
+        intermediate.works_raw(survey),
     )
 
 
@@ -433,7 +433,8 @@ def survey_feature_sets(src: Source) -> DataFrame:
     dwellings, respondents, works = _survey_tables(src)
     owners = cut_lineage(silver.owners_clean(respondents, dwellings))
     housing = cut_lineage(silver.housing_clean(dwellings, respondents, works, geography))
-    sets = model.survey_feature_sets(owners, housing, cut_lineage(_facts(src, geography)), geography)
+    frame = cut_lineage(model.survey_features(owners, housing, cut_lineage(_facts(src, geography)), geography))
+    sets = model.survey_feature_sets(frame)
     stacked = [
         frame.withColumnRenamed("surface" if name.endswith("surf") else "heating_production", "target")
         .withColumn("set_name", F.lit(name)) for name, frame in sets.items()
@@ -462,14 +463,14 @@ SCORING_TABLES = (*PROFILE_TABLES, *FACT_TABLES, "certificates", "weather", "nei
 
 def _scoring(src: Source) -> DataFrame:
     geography = _geography(src)
-    return model.renovation_scoring(
+    return model.retrofit_scoring(
         _certificates(src, geography), _facts(src, geography), geography,
         silver.weather_yearly(raw(src, "weather"), raw(src, "neighbours")),
     )
 
 
-@query("table_renovation_scoring_set", oracle(f", {_SCORING_SQL} SELECT * FROM scoring", *SCORING_TABLES))
-def renovation_scoring_set(src: Source) -> DataFrame:
+@query("table_retrofit_scoring_set", oracle(f", {_SCORING_SQL} SELECT * FROM scoring", *SCORING_TABLES))
+def retrofit_scoring_set(src: Source) -> DataFrame:
     return _scoring(src)
 
 
@@ -531,14 +532,14 @@ _SCORED_SQL = f"""{_GEOGRAPHY_SQL}, {_CERTIFICATES_SQL}, {_GOLD_MUNICIPALITY_SQL
 GOLD_TABLES = (*PROFILE_TABLES, "certificates", "housings")
 
 
-@query("table_gold_renovation", oracle(f", {_SCORED_SQL} " + " UNION ALL ".join(
+@query("table_gold_retrofit", oracle(f", {_SCORED_SQL} " + " UNION ALL ".join(
     f"SELECT id_dpe, insee_code, '{label}' AS renov_type FROM scored WHERE {flag} = 1"
     for flag, label in (("walls", "murs"), ("carpentry", "toiture"), ("floor", "plancher"), ("ceiling", "plafond"),
                         ("energy", "énergie"))
 ), *GOLD_TABLES))
-def gold_renovation(src: Source) -> DataFrame:
+def gold_retrofit(src: Source) -> DataFrame:
     scored, municipalities = _rule_scored(src)
-    rows = gold.gold_renovation(scored)
+    rows = gold.gold_retrofit(scored)
     return rows.join(municipalities.select("id_municipality", "insee_code"), ["id_municipality"]).drop("id_municipality")
 
 

@@ -29,6 +29,8 @@ def build_session(app: str = "lakestrata", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():

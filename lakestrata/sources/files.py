@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from lakestrata.operators.stitch import stitch_records
@@ -15,18 +15,22 @@ LAYERS = ("Datalake", "Intermediate", "Silver", "Model", "Gold")
 
 def read_delimited(
     spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ";", header: bool = True,
-    multiline: bool = False,
+    multiline: bool = False, malformed: str | None = None,
 ) -> DataFrame:
     """Delimited text with an explicit schema: no inference pass, and codes stay strings.
 
-    ``multiline`` handles quoted line breaks, at the price of one task per file.
+    ``multiline`` handles quoted line breaks, at the price of one task per file. A value
+    that doesn't fit its type is null; with ``malformed`` the whole line is kept in a
+    column of that name, which is null for all good lines.
     """
-    return (
+    if malformed:
+        schema = f"{schema if isinstance(schema, str) else schema.simpleString()[7:-1]}, `{malformed}` string"
+    reader = (
         spark.read.schema(schema)
         .option("sep", sep).option("header", header).option("multiLine", multiline)
         .option("escape", '"').option("mode", "PERMISSIVE")
-        .csv(path)
     )
+    return (reader.option("columnNameOfCorruptRecord", malformed) if malformed else reader).csv(path)
 
 
 def clean_headers(df: DataFrame, remove: str = ",") -> DataFrame:
@@ -51,20 +55,30 @@ def read_record_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_offset"), row.alias("_row"), F.col("value").alias("line"),
     )
     # A task may read several splits; counting from the split's own first row keeps positions inside it.
-    firsts = lines.groupBy("source", "_offset").agg(F.min("_row").alias("_base"))
-    return lines.join(firsts, ["source", "_offset"]).select(
-        "source", (F.col("_offset") + F.col("_row") - F.col("_base")).alias("pos"), "line"
-    )
+    base = F.min("_row").over(Window.partitionBy("source", "_offset"))
+    return lines.select("source", (F.col("_offset") + F.col("_row") - base).alias("pos"), "line")
 
 
 def read_broken_records(
-    spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ",", min_fields: int = 245
+    spark: SparkSession, path: str | list[str], types: Mapping[str, str] | None = None, sep: str = ",",
+    min_fields: int = 245, malformed: str | None = None,
 ) -> DataFrame:
-    """Delimited records that were split over several lines, stitched and then typed."""
-    records = stitch_records(read_record_lines(spark, path), "source", "pos", "line", min_fields, sep)
-    parsed = F.from_csv("record", schema if isinstance(schema, str) else schema.simpleString(),
-                        {"sep": sep, "mode": "PERMISSIVE"})
-    return records.select(parsed.alias("r")).select("r.*")
+    """Delimited records that were split over several lines, stitched and then typed.
+
+    The first line of every file is its header: it names the columns in file order, so
+    columns are found by name; ``types`` gives those that aren't text. Files with different
+    headers are an error. ``malformed`` is as in :func:`read_delimited`.
+    """
+    lines = read_record_lines(spark, path)
+    first = spark.read.text(path).first()
+    header = first[0] if first else ""
+    names = header.split(sep) if header else []
+    schema = ", ".join([f"`{n}` {(types or {}).get(n, 'string')}" for n in names] + ([f"`{malformed}` string"] if malformed else []))
+    differs = F.raise_error(F.lit("the files have different headers")).cast("boolean")
+    body = lines.where(F.when(F.col("pos") > 0, True).when(F.col("line") == header, False).otherwise(differs))
+    records = stitch_records(body, "source", "pos", "line", min_fields, sep)
+    options = {"sep": sep, "mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": malformed} if malformed else {})
+    return records.select(F.from_csv("record", schema, options).alias("r")).select("r.*")
 
 
 def create_layers(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:
@@ -87,9 +101,13 @@ class Lake:
             return self.spark.table(f"{layer}.{name}")
         return self.spark.read.parquet(self._path(layer, name))
 
-    def write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
+    def model_path(self, name: str) -> str:
+        """Folder of a fitted model, beside the tables."""
+        return os.path.join(self.root or self.spark.conf.get("spark.sql.warehouse.dir"), "models", name)
+
+    def write(self, df: DataFrame, layer: str, name: str, partition_by: Iterable[str] = ()) -> DataFrame:
         """Overwrite the table and return it read back, which also cuts the lineage."""
-        writer = df.write.mode("overwrite").format("parquet")
+        writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
         if self.root is None:
             writer.saveAsTable(f"{layer}.{name}")
         else:

@@ -82,7 +82,7 @@ def test_coercion_makes_text_null(spark):
 
 def test_roc_is_monotone_and_ends_at_one(spark, learnable):
     scored = learnable.select((F.col("truth") > 1).cast("int").alias("y"), (F.col("x") / 30).alias("score"))
-    points = evaluate.roc_points(scored, "y", "score", bins=10).orderBy(F.desc("threshold")).collect()
+    points = evaluate.binned_roc_points(scored, "y", "score", bins=10).orderBy(F.desc("threshold")).collect()
     assert points[-1].recall == points[-1].false_positive_rate == 1.0
     assert all(a.tp <= b.tp and a.fp <= b.fp for a, b in zip(points, points[1:]))
 
@@ -108,11 +108,11 @@ def lake(spark, tmp_path_factory):
 
 def test_layers_are_complete(lake):
     audit = {r.table_name: r.n_rows for r in run.audit(lake, {
-        "Intermediate": ("Dictionary", "Answer", "Owner", "Housing", "Renovation", "Municipality", "Weather"),
+        "Intermediate": ("Dictionary", "Answer", "Owner", "Housing", codes.WORKS_TABLE, "Municipality", "Weather"),
         "Silver": ("Municipality", "Municipality_info", "Weather", "Owner", "DPE", "Housing"),
         "Model": ("training_surf", "predicting_surf", "training_prod", "predicting_prod", "training_dpe_cat",
                   "training_renov_no_diff", "predicted_renov"),
-        "Gold": ("Municipality", "Renovation", "dpe"),
+        "Gold": ("Municipality", codes.WORKS_TABLE, "dpe"),
     }).collect()}
     assert all(n > 0 for n in audit.values()), audit
 
@@ -131,12 +131,12 @@ def test_imputed_housing(lake):
 
 def test_scores_and_serving_tables(lake):
     predicted = lake.read("Model", "predicted_renov")
-    assert predicted.columns == ["id_dpe", *codes.RENOVATION_FEATURES, "has_to_renov"]
+    assert predicted.columns == ["id_dpe", *codes.RETROFIT_FEATURES, "has_to_renov"]
     assert {r[0] for r in predicted.select("has_to_renov").distinct().collect()} <= {0, 1}
-    assert lake.read("Model", "training_renov_no_diff").columns == [*codes.RENOVATION_FEATURES, "has_done_renov"]
+    assert lake.read("Model", "training_renov_no_diff").columns == [*codes.RETROFIT_FEATURES, "has_done_renov"]
     segments = lake.read("Gold", "dpe")
     assert segments.agg(F.sum("count")).first()[0] == predicted.count()
-    assert {r[0] for r in lake.read("Gold", "Renovation").select("renov_type").distinct().collect()} <= set(
-        codes.RENOVATION_LABELS.values())
+    assert {r[0] for r in lake.read("Gold", codes.WORKS_TABLE).select("renov_type").distinct().collect()} <= set(
+        codes.RETROFIT_LABELS.values())
     years = {r[0] for r in lake.read("Silver", "Weather").select("department_number").distinct().collect()}
     assert years == {"01", "02", "03", "04"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.plans import raw
@@ -67,9 +68,46 @@ def test_record_lines_keep_file_order_over_splits(spark, tmp_path):
 
 
 def test_broken_records_are_repaired_and_typed(spark, tmp_path):
-    write(tmp_path / "b.csv", "1,a,b\n2,first_\nsecond,c\n3,d_\n,e\n")
-    got = read_broken_records(spark, str(tmp_path / "b.csv"), "id int, t string, u string", min_fields=3)
-    assert sorted(map(tuple, got.collect())) == [(1, "a", "b"), (2, "firstsecond", "c"), (3, "d", "e")]
+    write(tmp_path / "b.csv", "id,t,u\n1,a,b\n2,first_\nsecond,c\n3,d_\n,e\nx,y,z\n")
+    write(tmp_path / "c.csv", "id,t,u\n4,f,g\n")
+    paths = [str(tmp_path / "b.csv"), str(tmp_path / "c.csv")]
+    got = read_broken_records(spark, paths, {"id": "int"}, min_fields=3, malformed="bad")
+    assert got.columns == ["id", "t", "u", "bad"]
+    rows = sorted(map(tuple, got.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert rows == [(1, "a", "b", None), (2, "firstsecond", "c", None), (3, "d", "e", None), (4, "f", "g", None), (None, "y", "z", "x,y,z")]
+
+
+def test_columns_are_found_by_their_header(spark, tmp_path):
+    write(tmp_path / "b.csv", "t,id\na,1\n")
+    assert read_broken_records(spark, str(tmp_path / "b.csv"), {"id": "int"}, min_fields=2).collect() == [("a", 1)]
+    write(tmp_path / "c.csv", "id,t\n2,b\n")
+    with pytest.raises(Exception, match="different headers"):
+        read_broken_records(spark, str(tmp_path), {"id": "int"}, min_fields=2).collect()
+
+
+def test_malformed_lines_are_kept(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "code;n\n01004;3\n2A004;x\n")
+    rows = read_delimited(spark, path, "code string, n int", ";", malformed="bad").collect()
+    assert sorted(map(tuple, rows)) == [("01004", 3, None), ("2A004", None, "2A004;x")]
+
+
+def test_raw_layer_run(spark, tmp_path):
+    from lakestrata.plans import run
+
+    paths = {
+        "code_commune": write(tmp_path / "c.csv", "#Code_commune_INSEE;Code_postal\n01004;1500\n"),
+        "pop_commune_2016": write(tmp_path / "p.csv", "DEPCOM;COM;PMUN\n01004;x;12\n01005;y;oops\n"),
+        "neighbouring_dep": write(tmp_path / "n.txt", "01:02,03\n"),
+        "codebook": write(tmp_path / "b.csv", "Name;LABEL\nq;what\n"),
+        "dpe_france_2012": write(tmp_path / "d.csv", "a,date_etablissement_dpe\nlo_\nng,2020-01-02\n"),
+    }
+    lake = Lake(spark, str(tmp_path / "lake"))
+    from unittest import mock
+
+    with mock.patch.object(run.read_broken_records, "__defaults__", (None, ",", 2, None)):
+        audit = {r.table_name: (r.n_rows, r.n_malformed) for r in run.build_raw(lake, paths, broken=("dpe_france_2012",)).collect()}
+    assert audit == {"code_commune": (1, 0), "pop_commune_2016": (2, 1), "neighbouring_dep": (2, 0), "codebook": (1, 0), "dpe_france_2012": (1, 0)}
+    assert lake.read("Datalake", "dpe_france_2012").first().a == "long"
 
 
 CELL = "<Cellule><Modalite code='{}'/><Mesure>{}</Mesure><Valeur>{}</Valeur></Cellule>"

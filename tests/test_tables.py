@@ -45,7 +45,7 @@ def test_works_of_a_respondent(spark):
         {"Respondent_Serial": 2, "main_Q5_41": 2, "main_Q6_41": 3},
         {"Respondent_Serial": 3, "main_Q5_11": 1, "main_Q18_11": 7, "main_Q20_11": 900, "main_Q5_56": 2, "main_Q5_21": 3},
     )
-    got = intermediate.renovations_raw(answers.union(answers))
+    got = intermediate.works_raw(answers.union(answers))
     assert dicts(got, "id_owner", "work_type", "work_type_number", "start_date", "end_date", "done_by", "amount") == [
         (2, "opening_common_areas", 41, 2, 3, None, None),
         (3, "air_consitioning_system", 56, 2, None, None, None),
@@ -221,12 +221,12 @@ def test_housing_clean(spark):
         {"Respondent_Serial": 5, "cd_postal": 99000}, {"Respondent_Serial": 6, "main_RS182": 99},
     )
     got = silver.housing_clean(
-        intermediate.housing_raw(answers), intermediate.owners_raw(answers), intermediate.renovations_raw(answers),
+        intermediate.housing_raw(answers), intermediate.owners_raw(answers), intermediate.works_raw(answers),
         fx.geography(spark, (1, "01000", 1)),
     )
     rows = {r.id_owner: r for r in got.collect()}
     assert sorted(rows) == [1, 2, 4]
-    assert rows[1].first_date_renov in codes.RENOVATION_YEARS and rows[1].has_done_renov == 0
+    assert rows[1].first_date_renov in codes.RETROFIT_YEARS and rows[1].has_done_renov == 0
     assert rows[2].first_date_renov == 2015 and rows[2].has_done_renov == 1
     assert (rows[1].heating_production, rows[1].surface, rows[1].hot_water_system) == (1, 2, 1)
     assert (rows[4].heating_production, rows[4].surface, rows[4].heating_system) == (None, None, None)
@@ -245,10 +245,10 @@ def test_scoring_set_needs_three_years_of_weather(spark):
     weather = fx.frame(
         spark, {"department_number": "string", "year": "int", "wind_speed": "double", "humidity": "double", "temp_degree": "double"},
         [("01", y, y - 2000.0, y - 1000.0, 1.0) for y in (2020, 2021, 2022)] + [("02", y, 1.0, 1.0, 1.0) for y in (2020, 2022)])
-    got = model.renovation_scoring(certificates, facts, area, weather)
+    got = model.retrofit_scoring(certificates, facts, area, weather)
     assert dicts(got, "id_dpe", "wind_speed_0", "wind_speed_1", "wind_speed_2", "humidity_2", "population",
                  "department_number", "DPE_consumption") == [("d0", 22.0, 21.0, 20.0, 1020.0, 2122, 1, 2)]
-    assert got.columns == ["id_dpe", *codes.RENOVATION_FEATURES, "has_to_renov"]
+    assert got.columns == ["id_dpe", *codes.RETROFIT_FEATURES, "has_to_renov"]
 
 
 def test_gold_flags_and_segments(spark):
@@ -264,7 +264,7 @@ def test_gold_flags_and_segments(spark):
         [("d0", 1, 1, 2, 0, 0, 1), ("d1", 3, 9, 1, 3, 3, 0), ("d2", 1, 1, 1, 1, 1, 1)])
     scored = gold.scored_certificates(raw, scores, towns)
     # d0: walls poor, ceiling mean 2.5 -> 2; d1: ceiling mean 1.5 -> 1; d2 has no known town; d3 has no score.
-    assert dicts(gold.gold_renovation(scored), "id_dpe", "id_municipality", "renov_type") == [
+    assert dicts(gold.gold_retrofit(scored), "id_dpe", "id_municipality", "renov_type") == [
         ("d0", 4, "plafond"), ("d0", 4, "toiture"), ("d0", 4, "énergie")]
     assert dicts(gold.gold_segments(scored), "type", "construction_date", "heating_production", "surface",
                  "DPE_consumption", "has_to_renov", "count") == [
