@@ -159,54 +159,69 @@ def ranking_metrics(src: Source) -> DataFrame:
     return found.select(F.round("roc_auc", 9).alias("roc_auc"), F.round("average_precision", 9).alias("average_precision"))
 
 
-@query("op_impute_model")
+# Targets of the fitted models are rules of the features, hidden for a share of the rows that the key's hash picks.
+# Trees deep enough, with a bin for every value, must find the rule, so the oracle is the rule itself.
+_EXACT_TREES = {"maxBins": 1024, "minInstancesPerNode": 1}
+
+
+def _steps(src: Source) -> DataFrame:
+    """Documents with their length in steps and a class that follows from it, unknown for a third."""
+    steps = src.documents.select("doc_id", "lang", F.floor(F.col("n_chars") / 400).cast("int").alias("step"))
+    rule = F.when(F.col("step") >= 5, 1).otherwise(0)
+    return steps.withColumn("known", F.col("doc_id") % 3 != 1).withColumn("long", F.when(F.col("known"), rule))
+
+
+_LONG = "CASE WHEN n_chars // 400 >= 5 THEN 1 ELSE 0 END"
+
+
+@query("op_impute_model", f"SELECT doc_id, (n_chars // 400)::INTEGER AS step, doc_id % 3 <> 1 AS known, {_LONG} AS long FROM documents")
 def impute_model(src: Source) -> DataFrame:
-    """Quality of unlabelled documents from a balanced forest; observed labels stay."""
-    rated = _rated(src).drop("toxic")
+    """A missing class from a balanced forest; known ones stay."""
+    frame = _steps(src)
     model = models.train_classifier(
-        rated, "quality", ["n_chars"], ["lang", "source"],
-        models.balanced_forest("label", numTrees=20, maxDepth=5), balanced=True,
+        frame, "long", ["step"], ["lang"],
+        models.balanced_forest("label", numTrees=5, maxDepth=6, featureSubsetStrategy="all", **_EXACT_TREES), balanced=True,
     )
-    return models.impute_target(rated, model, "quality", ["n_chars"])
+    return models.impute_target(frame, model, "long", ["step"]).select("doc_id", "step", "known", "long")
 
 
-@query("op_score_batch")
+@query("op_score_batch", f"SELECT doc_id, (n_chars // 400)::INTEGER AS step, {_LONG} AS long FROM documents")
 def score_batch(src: Source) -> DataFrame:
-    """Score every document with boosted trees that stop early on the validation part."""
-    rated = _rated(src).withColumn("part", hash_split(F.col("doc_id")))
-    fit_on = rated.where("part <> 'test'").withColumn("is_validation", F.col("part") == "val")
+    """Score every document with boosted trees that stop early on the validation part; preparation sees the training part."""
+    frame = _steps(src)
+    rated = frame.withColumn("part", hash_split(F.col("doc_id"))).where("part <> 'test'").withColumn("is_validation", F.col("part") == "val")
     model = models.train_classifier(
-        fit_on, "toxic", ["n_chars"], ["lang", "source"],
-        models.boosted_binary("label", "is_validation", maxIter=10, maxDepth=4, seed=1), standardise=True,
+        rated, "long", ["step"], ["lang"], models.boosted_binary("label", "is_validation", maxIter=5, maxDepth=4, seed=1, **_EXACT_TREES),
+        standardise=True, prepare_on="not is_validation",
     )
-    return models.predict(model, rated.drop("toxic", "quality"), ["n_chars"], "toxic")
+    return models.predict(model, frame.drop("long", "known"), ["step"], "long").select("doc_id", "step", "long")
 
 
-def _sized_parts(src: Source) -> DataFrame:
-    """Parts with a size class in 1..3 that is unknown for one type."""
-    size_class = F.when(F.col("p_size") < 17, 1).when(F.col("p_size") < 34, 2).otherwise(3)
-    return src.part.select(
-        "p_partkey", "p_brand", F.col("p_retailprice").alias("price"),
-        F.when(F.col("p_type") != "ECONOMY", size_class).alias("size_class"),
-    )
-
-
-@query("op_impute_boosted")
+@query("op_impute_boosted", """
+    SELECT p_partkey, p_size, p_partkey % 4 <> 2 AS known, CASE WHEN p_size < 17 THEN 1 WHEN p_size < 34 THEN 2 ELSE 3 END AS size_class
+    FROM part
+""")
 def impute_boosted(src: Source) -> DataFrame:
     """Missing size classes from one boosted model per class."""
-    parts = _sized_parts(src)
+    rule = F.when(F.col("p_size") < 17, 1).when(F.col("p_size") < 34, 2).otherwise(3)
+    frame = src.part.select("p_partkey", "p_brand", "p_size", F.when(F.col("p_partkey") % 4 != 2, rule).alias("size_class"))
+    frame = frame.withColumn("known", F.col("size_class").isNotNull())
     model = models.train_classifier(
-        parts, "size_class", ["price"], ["p_brand"], models.boosted_classes("label", maxIter=3, maxDepth=3), first_class=1
+        frame, "size_class", ["p_size"], ["p_brand"], models.boosted_classes("label", maxIter=3, maxDepth=3, **_EXACT_TREES), first_class=1
     )
-    return models.impute_target(parts, model, "size_class", ["price"], first_class=1)
+    return models.impute_target(frame, model, "size_class", ["p_size"], first_class=1).select("p_partkey", "p_size", "known", "size_class")
 
 
-@query("op_feature_importance")
+@query("op_feature_importance", """
+    SELECT 'step_filled' AS feature, (count(DISTINCT n_chars // 400 >= 5) = 2)::INTEGER::DOUBLE AS importance FROM documents
+    UNION ALL SELECT 'same_filled', 0.0::DOUBLE
+""")
 def feature_importance(src: Source) -> DataFrame:
-    """How much each feature of the quality model weighs."""
-    rated = _rated(src).drop("toxic")
+    """How much each feature weighs: one that decides the class, and one that is the same everywhere."""
+    frame = _steps(src).withColumn("same", F.lit(1.0))
     model = models.train_classifier(
-        rated, "quality", ["n_chars"], ["lang", "source"], models.balanced_forest("label", numTrees=10, maxDepth=4),
-        balanced=True,
+        frame, "long", ["step", "same"], [],
+        models.balanced_forest("label", numTrees=3, maxDepth=4, featureSubsetStrategy="all", **_EXACT_TREES), balanced=True,
     )
-    return models.feature_importance(model, model.transform(features.coerce_numbers(rated, ["n_chars"])))
+    found = models.feature_importance(model, model.transform(features.coerce_numbers(frame, ["step", "same"])))
+    return found.select("feature", F.round("importance", 9).alias("importance"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import fixtures as fx
 import pytest
 from pyspark.sql import functions as F
@@ -111,8 +113,8 @@ def test_layers_are_complete(lake):
         "Intermediate": ("Dictionary", "Answer", "Owner", "Housing", codes.WORKS_TABLE, "Municipality", "Weather"),
         "Silver": ("Municipality", "Municipality_info", "Weather", "Owner", "DPE", "Housing"),
         "Model": ("training_surf", "predicting_surf", "training_prod", "predicting_prod", "training_dpe_cat",
-                  "training_renov_no_diff", "predicted_renov"),
-        "Gold": ("Municipality", codes.WORKS_TABLE, "dpe"),
+                  "training_renov_no_diff", "predicted_renov", "survey_features", "retrofit_quality"),
+        "Gold": ("Municipality", codes.WORKS_TABLE, "dpe", "scored"),
     }).collect()}
     assert all(n > 0 for n in audit.values()), audit
 
@@ -140,3 +142,23 @@ def test_scores_and_serving_tables(lake):
         codes.RETROFIT_LABELS.values())
     years = {r[0] for r in lake.read("Silver", "Weather").select("department_number").distinct().collect()}
     assert years == {"01", "02", "03", "04"}
+
+
+def test_stored_model_scores_alike(lake):
+    before = sorted(map(tuple, lake.read("Model", "predicted_renov").select("id_dpe", "has_to_renov").collect()))
+    assert sorted(map(tuple, run.score_certificates(lake).select("id_dpe", "has_to_renov").collect())) == before
+
+
+def test_quality_is_told_per_part(lake):
+    rows = lake.read("Model", "retrofit_quality").collect()
+    assert rows and {r.part for r in rows} <= {"train", "val", "test"} and all(0 <= r.accuracy <= 1 for r in rows)
+
+
+def test_ranking_metrics(spark):
+    rows = [(1, 0.9), (1, 0.6), (0, 0.6), (0, 0.2), (1, 0.2), (None, 0.5), (1, None)]
+    found = evaluate.ranking_metrics(spark.createDataFrame(rows, "y int, s double"), "y", "s").first()
+    assert found.roc_auc == pytest.approx((2 + 1.5 + 0.5) / 6)
+    assert found.average_precision == pytest.approx((1 / 1 + 2 / 3 + 3 / 5) / 3)
+    assert found.log_loss == pytest.approx(-sum(map(math.log, (0.9, 0.6, 1 - 0.6, 1 - 0.2, 0.2))) / 5)
+    with pytest.raises(Exception, match="outside"):
+        evaluate.roc_points(spark.createDataFrame([(1, 1.5)], "y int, s double"), "y", "s").collect()

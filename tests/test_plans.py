@@ -39,7 +39,7 @@ def test_scan_reads_only_what_is_used(spark, name, columns):
 @pytest.mark.parametrize("name,pushed", [
     ("op_filter_then_project", "EqualTo(l_returnflag,R)"),
     ("op_range_filter", "LessThan(o_totalprice"), ("op_date_window", "GreaterThanOrEqual(o_orderdate"),
-    ("op_semi_gate", "EqualTo(o_orderstatus,P)"),
+    ("op_semi_gate", "EqualTo(o_orderstatus,P)"), ("op_event_counts_by_year", "LessThan(l_shipdate"),
 ])
 def test_filters_reach_the_scan(spark, name, pushed):
     assert pushed in plan(spark, name)
