@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.llm import automaton, chat, decontam, language, mixing, near_vectors, rans, secrets, simhash, suffixes
 from lakestrata.llm.common import shared_path
+from lakestrata.llm.oracles import ORACLES  # noqa: F401
 from lakestrata.session import table
 
 END_ID = 2
@@ -95,20 +96,3 @@ QUERIES = {
         op8_suffix_array_dedup, op9_near_vectors, op10_chat,
     )
 }
-
-_ESCAPED = "replace(replace(replace({}, '&', '&a;'), '<', '&l;'), '[', '&b;')"
-
-ORACLES = {
-    "op10_chat": f"""
-        WITH r AS (
-            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
-        )
-        SELECT conv_id, count(*) AS n_turns,
-            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-            CAST(sum(length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}) + {len(chat.TURN + chat.BODY + chat.END)}) AS BIGINT) AS formatted_chars
-        FROM r GROUP BY conv_id
-    """,
-}

@@ -77,10 +77,11 @@ def test_near_vectors(spark):
     assert told(spark, "op9_near_vectors", "n_links", "component_id", "kept") == brute.vector_links(vectors)
 
 
-def test_chat_matches_oracle(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_matches_sql(spark, name):
     import compare
 
-    assert compare.differences(queries.op10_chat(spark, SF_DIR), compare.connect(SF_DIR), queries.ORACLES["op10_chat"]) is None
+    assert compare.differences(queries.QUERIES[name](spark, SF_DIR), compare.connect(SF_DIR), queries.ORACLES[name]) is None
 
 
 def test_native_queries_run_no_python(spark):
