@@ -7,6 +7,6 @@ from lakestrata.queries.registry import REGISTRY
 
 def load_all() -> dict:
     """Import every query module, which fills the registry."""
-    from lakestrata.queries import frames, learning, reshaping, scalars, tables  # noqa: F401
+    from lakestrata.queries import frames, learning, reshaping, scalars, storage, tables  # noqa: F401
 
     return REGISTRY

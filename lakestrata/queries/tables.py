@@ -372,6 +372,15 @@ def certificates_clean(src: Source) -> DataFrame:
     return _by_postal(_certificates(src, geography), geography)
 
 
+@query("table_certificate_features", oracle(f"""
+    , {_GEOGRAPHY_SQL}, {_CERTIFICATES_SQL}
+    SELECT {', '.join(codes.CERTIFICATE_FEATURES)}, "GES_emission", "DPE_consumption" FROM certificates JOIN geography USING (postal_code)
+""".strip(), *GEOGRAPHY_TABLES, "certificates"))
+def certificate_features(src: Source) -> DataFrame:
+    geography = _geography(src)
+    return model.certificate_feature_set(_by_postal(_certificates(src, geography), geography))
+
+
 _CLEAN_HOUSING_SQL = f"""
     o AS ({_OWNER_SQL}), h AS ({_HOUSING_SQL}), w AS ({_WORKS_SQL}),
     housing AS (
