@@ -24,7 +24,7 @@ BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
-_CACHE = 500_000  # words whose ids a worker remembers
+_CACHE = 500_000  # words of a generation; a worker remembers two
 
 
 def shared_table(counts: np.ndarray) -> np.ndarray:
@@ -98,47 +98,57 @@ class Coder:
         return out.ravel()[: count - begin * lanes]
 
 
-class Words:
-    """Ids of a text, word by word: the tokenizer drops white space and never looks across it.
+class Words(dict):
+    """Ids of words as bytes, found when first asked for: the tokenizer drops white space and never looks across it.
 
-    A worker keeps the ids of words it has met (at most ``_CACHE``, then it starts anew).
-    A comma or full stop behind a letter is a token run of its own, and ASCII letters are
-    lower-cased anyway, so such words share the entry of their bare form.
+    A worker keeps the words it has met; when they are ``_CACHE``, they become the older
+    generation, from which those still in use are taken over. A comma
+    or full stop behind a letter is a token run of its own, and ASCII letters are
+    lower-cased anyway, so such words share what their bare form has. A word of letters is
+    one run: it takes the tokenizer's normalizer, byte alphabet and model without the
+    search for runs; anything else takes the whole tokenizer.
     """
 
     def __init__(self, path: str, kind: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), kind, {}
+        super().__init__()
+        self.tokenizer, self.kind, self.alphabet = Tokenizer.from_file(path), kind, {}
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
+        self.old: dict[bytes, bytes] = {}
+        self.pack = "H" if kind == "<u2" else "I"
 
-    def _bare(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(words, found)}
-
-    def learn(self, words: set[bytes]) -> None:
-        parts = {}
-        for word in words:
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
             text = word.decode()
-            tail = ""
-            if len(text) > 1 and text[-1] in ",." and text[-2].isalpha():
-                text, tail = text[:-1], text[-1]
-            if text.isascii() and "<|" not in text:
-                text = text.lower()
-            parts[word] = text, tail
-        ids = self._bare(sorted({p for pair in parts.values() for p in pair if p}))
-        ids[""] = b""
-        self.known.update((word, ids[text] + ids[tail]) for word, (text, tail) in parts.items())
+            bare, tail = (text[:-1], text[-1]) if text[-1] in ",." and text[-2:-1].isalpha() else (text, "")
+            if bare.isascii() and "<|" not in bare:
+                bare = bare.lower()
+            if tail or bare != text:
+                ids = self[bare.encode()] + (self[tail.encode()] if tail else b"")
+            else:
+                found = self._run(text) if text.isalpha() else self.tokenizer.encode(text, add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(found)}{self.pack}", *found)
+        self[word] = ids
+        return ids
+
+    def _run(self, text: str) -> list[int]:
+        plain = text if text.isascii() else self.normalizer.normalize_str(text)
+        if not plain.isalpha():
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        for letter in set(plain):
+            if ord(letter) not in self.alphabet:
+                self.alphabet[ord(letter)] = self.tokenizer.pre_tokenizer.pre_tokenize_str(letter)[0][0]
+        return [t.id for t in self.model.tokenize(plain.translate(self.alphabet))]
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
-            words = text.split()
-            if new := {w for w in words if w not in self.known}:
-                if len(self.known) + len(new) > _CACHE:
-                    self.known.clear()
-                    new = set(words)
-                self.learn(new)
-            yield b"".join(map(self.known.__getitem__, words))
+            if len(self) > _CACHE:
+                self.old = dict(self)
+                self.clear()
+            yield b"".join(map(self.__getitem__, text.split()))
 
 
 def worker_words(path: str, kind: str) -> Words:
@@ -179,8 +189,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vo
     ``path/table`` holds the shared frequencies, counted over all tokens; ``path/blocks``
     one row per block: ``part``, ``first`` (tokens of the part before it), ``n_tokens``,
     ``payload`` (header, checkpoints, words, checksum) and ``docs`` (id, row, offset in the
-    document, tokens, whether the document ends here). A block holds about ``BLOCK`` tokens;
-    longer documents run over several. Nothing but the frequencies, one row per
+    document, tokens, whether the document ends here). A block holds whole documents of
+    about ``BLOCK`` tokens together; a longer document has blocks of its own. Nothing but the frequencies, one row per
     vocabulary entry, passes the driver. The token ids are kept once in the shared folder
     between counting and coding, so a lost executor costs its own tasks only.
 
@@ -230,14 +240,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vo
                 if held and (at[0] != part or at[1] + size != first):
                     yield block()
                     held, index, size = [], [], 0
-                for cut in range(0, len(ids), BLOCK):
-                    piece = ids[cut : cut + BLOCK]
+                if held and len(ids) > 2 * BLOCK:
+                    yield block()
+                    held, index, size = [], [], 0
+                step = BLOCK if len(ids) > 2 * BLOCK else len(ids)
+                for cut in range(0, len(ids), step):
+                    piece = ids[cut : cut + step]
                     if not held:
                         at = part, first + cut
                     held.append(piece.copy())
-                    index.append({"doc_id": doc, "row": row, "offset": cut, "n": len(piece), "ends": cut + BLOCK >= len(ids)})
+                    index.append({"doc_id": doc, "row": row, "offset": cut, "n": len(piece), "ends": cut + step >= len(ids)})
                     size += len(piece)
-                    if size >= BLOCK:
+                    if size >= BLOCK or step < len(ids):
                         yield block()
                         held, index, size = [], [], 0
         if held:
@@ -274,9 +288,13 @@ def read_tokens(spark: SparkSession, path: str, vocabulary: int = 49408) -> Data
                     ["part", "row", "doc_id", "at", "offset", "n", "ends", "crc"],
                 )
 
-    pieces = blocks.select("part", "first", "payload", "docs").mapInArrow(
-        decode, f"part bigint, row bigint, doc_id {id_type}, at bigint, offset bigint, n bigint, ends boolean, crc bigint"
-    )
+    def pieces(some: DataFrame) -> DataFrame:
+        return some.select("part", "first", "payload", "docs").mapInArrow(
+            decode, f"part bigint, row bigint, doc_id {id_type}, at bigint, offset bigint, n bigint, ends boolean, crc bigint"
+        )
+
+    # Blocks of one long document have no whole one, so each block is decoded once.
+    long = F.exists("docs", lambda d: (d["offset"] > 0) | ~d["ends"])
 
     def fold(group: pa.Table) -> pa.Table:
         group = group.sort_by("offset")
@@ -286,9 +304,8 @@ def read_tokens(spark: SparkSession, path: str, vocabulary: int = 49408) -> Data
             crc = zlib.crc32(blank, crc) ^ zlib.crc32(blank) ^ own
         return pa.table({"part": group["part"].slice(0, 1), "doc_id": group["doc_id"].slice(0, 1), "at": group["at"].slice(0, 1), "n": pa.array([sum(group["n"].to_pylist())], pa.int64()), "crc": pa.array([crc], pa.int64())})
 
-    whole = "offset = 0 and ends"
-    docs = pieces.where(whole).select("part", "doc_id", "at", "n", "crc").unionByName(
-        pieces.where(f"not ({whole})").groupBy("part", "row").applyInArrow(fold, f"part bigint, doc_id {id_type}, at bigint, n bigint, crc bigint")
+    docs = pieces(blocks.where(~long)).select("part", "doc_id", "at", "n", "crc").unionByName(
+        pieces(blocks.where(long)).groupBy("part", "row").applyInArrow(fold, f"part bigint, doc_id {id_type}, at bigint, n bigint, crc bigint")
     )
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("set", F.floor(F.col("part") / 1024))
     sets = parts.groupBy("set").agg(F.sum("n").alias("n"))
