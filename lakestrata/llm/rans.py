@@ -24,7 +24,7 @@ BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
-_CACHE = 500_000  # words of a generation; a worker remembers two
+_CACHE = 750_000  # words of a generation; a worker remembers two
 
 
 def shared_table(counts: np.ndarray) -> np.ndarray:
@@ -48,7 +48,7 @@ class Coder:
     def __init__(self, freq: np.ndarray) -> None:
         self.freq = freq.astype(np.uint64)
         self.start = (np.cumsum(freq) - freq).astype(np.uint64)
-        self.symbol = np.repeat(np.arange(len(freq)), freq)
+        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32), freq)
         self.filler = int(freq.argmax())
 
     def encode(self, ids: np.ndarray) -> bytes:
