@@ -8,10 +8,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lakestrata.llm.common import local_roots, mix64, spare, stored, utf8
+from lakestrata.llm import near_texts
+from lakestrata.llm.common import local_roots, mix64, shingle_hashes, spare, stored, utf8
 from lakestrata.llm.components import components
 
 FANOUT = 16
@@ -21,18 +21,6 @@ _VOTES = 1 << 13  # shingles whose bits are summed at a time
 _CONFIRM = 8  # 64-bit words of a confirming fingerprint
 
 
-def shingle_hashes(words: list[bytes], width: int, seed: int) -> np.ndarray:
-    """XXH64 of every run of ``width`` words, joined by blanks; of all words if there are fewer."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    n = max(1, len(words) - width + 1)
-    starts, stops = [0, *ends[: n - 1].tolist()], (ends[-n:] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(line[a:b], seed) for a, b in zip(starts, stops)), np.uint64, n)
-
-
 def majority(hashes: np.ndarray) -> int:
     """Each bit as most of the hashes have it, ties and none at all as 0; signed."""
     votes = np.zeros(64, np.int64)
@@ -209,18 +197,14 @@ def fp_hex(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def deduplicate(
-    docs: DataFrame, radius: int = 8, shingle: int = 5, bits: int = 87, shard_rows: int = 2048, doc_id: str = "doc_id", **options
-) -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = 5, share: tuple[int, int] = (4, 5), doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Copies are sought among fingerprints of distinct words within ``radius`` bits, where a
-    few changed words move little, and confirmed on shingles of ``shingle`` words: 87 of
-    512 bits stand for an angle of 31 degrees, a Jaccard similarity of about 0.76, so that
-    0.8 passes with a margin. Rows with a null id stay, and so do all rows that share the
-    smallest id of a group.
+    Near copies share ``share`` or more of their different shingles of ``shingle`` words
+    (see :func:`lakestrata.llm.near_texts.near_texts`). Rows with a null id stay, and so do
+    all rows that share the smallest id of a group.
     """
-    groups = near_groups(docs, radius=radius, width=1, confirm=(shingle, bits), shard_rows=shard_rows, doc_id=doc_id, **options)
+    groups = near_texts.near_texts(docs, width=shingle, share=share, doc_id=doc_id, **options)
     mark = spare(docs, "gone")
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(mark)).distinct()
     return docs.join(gone, docs[doc_id] == gone[mark], "left_anti")
