@@ -33,3 +33,20 @@ def test_a_line_repeated_in_one_copy_outvotes_nothing(spark, times, body, line):
         words, more = ([f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (body, line))
         docs += [(2 * k, " ".join(words + more)), (2 * k + 1, " ".join(words + more * times))]
     assert kept(spark, docs) == plain_kept(docs) == set(range(0, 20, 2))
+
+
+@pytest.mark.parametrize("part_rows", [4096, 1])
+def test_the_bound_is_exact(spark, part_rows):
+    rng, docs = random.Random(8), []
+    vocabulary, weights = [f"w{k}" for k in range(5000)], [1 / (k + 1) for k in range(5000)]
+    for size, changes in ((600, range(10, 17)), (240, range(3, 8)), (100, range(1, 5)), (50, range(1, 4))):
+        for changed in [c for c in changes for _ in range(6)]:
+            words = rng.choices(vocabulary, weights, k=size)
+            docs.append((len(docs), " ".join(words)))
+            for _ in range(2):
+                copy = list(words)
+                for i in rng.sample(range(size), changed):
+                    copy[i] = rng.choice(vocabulary)
+                docs.append((len(docs), " ".join(copy)))
+    want = plain_kept(docs)
+    assert kept(spark, docs, part_rows=part_rows) == want and len(docs) // 3 < len(want) < len(docs)
