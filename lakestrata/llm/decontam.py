@@ -8,6 +8,10 @@ from lakestrata.llm.common import spare
 
 #: Spaced seeds: 1 = the token counts, 0 = it is ignored, so a substitution there goes unseen.
 MASKS = ("111011011", "110101111")
+#: With it, any two changes in 13 tokens and any one in 9 to 12 leave a seed whole.
+DENSE = "111101"
+#: Items of fewer tokens are found by seeds over all of them: as they are below 7, with each pair of places ignored in turn at 7 and 8.
+SHORT = 9
 #: Seeds and item texts are broadcast up to this size, beyond it they are joined by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
@@ -17,12 +21,27 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
 
 
-def _seeds(rows: DataFrame, words: str, keep: list[str]) -> DataFrame:
-    """``(*keep, pos, seed)`` for each mask at each position where it fits."""
-    span = len(MASKS[0])
-    at = rows.select(*keep, words, F.posexplode(words).alias("pos", "_word")).where(F.col("pos") <= F.size(words) - span)
-    seeds = [F.xxhash64(F.lit(k), *(F.get(words, F.col("pos") + i) for i, bit in enumerate(mask) if bit == "1")) for k, mask in enumerate(MASKS)]
-    return at.select(*keep, "pos", F.explode(F.array(*seeds)).alias("seed"))
+def _masks(lengths: list[int]) -> list[tuple[str, int | None]]:
+    """Masks, and the only item length each is for: items below ``SHORT`` tokens have theirs, as far as such items occur."""
+    masks = [(mask, None) for mask in (*MASKS, DENSE)]
+    for n in lengths:
+        if n < 7:
+            masks.append(("1" * n, n))
+        else:
+            masks += [("".join("0" if i // 2 == pair else "1" for i in range(n)), n) for pair in range((n + 1) // 2)]
+    return masks
+
+
+def _seeds(rows: DataFrame, words: str, keep: list[str], masks: list[tuple[str, int | None]], items: bool) -> DataFrame:
+    """``(*keep, pos, seed)`` for each mask at each position where it fits; of an item, for the masks of its length."""
+    at = rows.select(*keep, words, F.posexplode(words).alias("pos", "_word"))
+    size, seeds = F.size(words), []
+    for k, (mask, only) in enumerate(masks):
+        fits = F.col("pos") <= size - len(mask)
+        if items:
+            fits &= size >= SHORT if only is None else size == only
+        seeds.append(F.when(fits, F.xxhash64(F.lit(k), *(F.get(words, F.col("pos") + i) for i, bit in enumerate(mask) if bit == "1"))))
+    return at.select(*keep, "pos", F.explode(F.array(*seeds)).alias("seed")).where("seed is not null")
 
 
 def contamination(
@@ -40,19 +59,21 @@ def contamination(
     Cost: one pass over the tokens, no shuffle before the hits; hits are reduced to
     alignments map-side; only documents with a hit are read against them. The benchmark's
     seeds and texts are broadcast if they were counted and are few, else joined by shuffle.
-    Items or documents shorter than a mask have no seed and match nothing; null or empty
-    texts likewise; repeated rows give one row; rows with a null id are ignored; other
-    columns play no part.
+    With 11 of 13 the seeds find every overlap there is, of items of any length; a looser
+    ``window`` and ``least`` may have overlaps without a seed. Null or empty texts match
+    nothing; repeated rows give one row; rows with a null id are ignored; other columns
+    play no part.
     """
     left = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     items = (
         benchmark.select(F.col(item_id).alias("item_id"), F.array_remove(tokens(F.col(item_text)), "").alias("item"))
         .where("item_id is not null").distinct()
     )
-    index = _seeds(items, "item", ["item_id"]).withColumnRenamed("pos", "item_pos").distinct()
+    masks = _masks(sorted(r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n").between(1, SHORT - 1)).distinct().collect()))
+    index = _seeds(items, "item", ["item_id"], masks, True).withColumnRenamed("pos", "item_pos").distinct()
     rows, size = index.count(), items.agg(F.sum(F.length(F.array_join("item", " ")))).first()[0] or 0
     small = F.broadcast if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else lambda x: x
-    seen = _seeds(left.select("doc_id", tokens(F.col("text")).alias("words")), "words", ["doc_id"])
+    seen = _seeds(left.select("doc_id", tokens(F.col("text")).alias("words")), "words", ["doc_id"], masks, False)
     hits = seen.join(small(index), "seed").groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.count(F.lit(1)).alias("seeds"))
 
     laid = (
