@@ -87,7 +87,41 @@ CONTAMINATION = f"""
     QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, aligned DESC, first_token, last_token DESC) = 1
 """
 
+TOP_K = """
+    WITH v AS (
+        SELECT DISTINCT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.e, b.e)::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0)
+    SELECT * FROM (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
+    WHERE rank <= 5
+"""
+
+# The checksum by its bits: eight steps of the reflected polynomial for every byte of the decimal number.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)))"""
+
+TRIE = f"""
+    WITH o AS (
+        SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+    ),
+    h AS (SELECT conv_id, turns, {_CRC32} % 9 AS h FROM o),
+    r AS (SELECT h.conv_id, list_concat(coalesce(d.turns[1:h], []), h.turns[h + 1:]) AS turns FROM h LEFT JOIN o d ON d.conv_id = h.conv_id - h.conv_id % 5),
+    m AS (SELECT conv_id, turns[1:depth] AS path, depth FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM r)),
+    n AS (SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs FROM m GROUP BY path),
+    p AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+    v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(path[depth].text) ELSE 0 END AS own FROM n LEFT JOIN p USING (path)),
+    u AS (SELECT path[1:above] AS path, sum((n_children = 0)::INTEGER) AS n_leaves, sum(own) AS saved FROM (SELECT *, unnest(range(depth + 1)) AS above FROM v) GROUP BY 1),
+    e AS (SELECT turns AS path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM r GROUP BY turns)
+    SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, u.n_leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens,
+           coalesce(ends, sha256('')) AS ends_sha256
+    FROM v JOIN u USING (path) LEFT JOIN e USING (path) LEFT JOIN v up ON up.path = v.path[1:v.depth - 1] AND v.depth > 0
+"""
+
 ORACLES = {
     "op1_decontamination": CONTAMINATION, "op2_substring_dedup": SUBSTRINGS, "op8_suffix_array_dedup": BYTES,
     "op9_near_vectors": VECTORS, "op10_chat": CHAT,
+    "op12_metric_tree": TOP_K, "op13_prefix_trie": TRIE,
 }

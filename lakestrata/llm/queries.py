@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestrata.llm import automaton, chat, decontam, language, mixing, near_vectors, rans, secrets, simhash, suffixes
-from lakestrata.llm.common import shared_path
+from lakestrata.llm import (
+    automaton, chat, decontam, language, metric_tree, mixing, near_vectors, prefixes, rans, runs, secrets, simhash, suffixes,
+)
+from lakestrata.llm.common import WORD, shared_path
 from lakestrata.llm.oracles import ORACLES  # noqa: F401
 from lakestrata.session import table
 
@@ -89,10 +91,59 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: in every tenth document, by a hash of its id, the words from one on repeat a few of them."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    rows = docs.select("doc_id", "text", number.alias("h"), F.floor(number / 10).alias("g"))
+    chosen = (F.col("h") % 10 == 0) & F.coalesce("text", F.lit("")).rlike(WORD)
+    some = rows.where(chosen).select("doc_id", "g", words.alias("words")).select("*", F.size("words").alias("n"))
+    some = some.withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    some = some.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    # whole periods from word a on, cut where the text ends
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    some = some.select("doc_id", F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ").alias("text"))
+    return rows.where(~F.coalesce(chosen, F.lit(False))).select("doc_id", "text").unionByName(some)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All periodic runs of every text, some of them planted."""
+    found = runs.periodic_runs(planted_runs(table(spark, sf_dir, "documents")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # the longest; of equal ones the first, then the one of the smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    told = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return told.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+def op12_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best answers to every fiftieth vector, out of all others."""
+    return metric_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def rebuilt_conversations(rows: DataFrame) -> DataFrame:
+    """``(conv_id, units)``: every conversation begins with the first turns of the one whose number ends its five."""
+    turns = prefixes.conversation_turns(rows)
+    own = turns.select("conv_id", "units", (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int").alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("donor"))
+    givers = turns.where(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("donor"), F.slice("units", 1, 8).alias("given"))
+    given = F.coalesce(F.slice("given", F.lit(1), F.col("h")), F.array().cast("array<string>"))
+    return own.join(givers, "donor", "left").select("conv_id", F.concat(given, F.slice("units", F.col("h") + 1, F.size("units"))).alias("units"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations."""
+    return prefixes.prefix_trie(rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_substring_dedup, op3_mixing, op4_token_output, op5_language, op6_simhash, op7_secrets,
-        op8_suffix_array_dedup, op9_near_vectors, op10_chat,
+        op8_suffix_array_dedup, op9_near_vectors, op10_chat, op11_periodic_runs, op12_metric_tree,
+        op13_prefix_trie,
     )
 }

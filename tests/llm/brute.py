@@ -137,3 +137,90 @@ def overlaps(docs: dict[int, str | None], items: dict[int, str], window: int = 1
                 if width and len(same) >= width and np.convolve(same, np.ones(width, int), "valid").max() >= -(-width * least // window):
                     out.add((doc, item))
     return out
+
+
+def planted(doc: int, text: str | None) -> list[bytes]:
+    """The words of a document after the planting of runs."""
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(doc).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+
+
+def periodic_runs(words: list, least: int = 6, times: int = 4) -> list[tuple]:
+    """Every run (start, length, period), by start, then period, straight from the definition."""
+    n, out = len(words), []
+    for period in range(1, n // times + 1):
+        start = 0
+        while start + period < n:
+            stop = start
+            while stop + period < n and words[stop] == words[stop + period]:
+                stop += 1
+            length = stop - start + period
+            if stop > start and length >= max(least, times * period):
+                part = words[start : start + length]
+                if not any(part[q:] == part[:-q] for q in range(1, period)):
+                    out.append((start, length, period))
+            start = stop + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_row(doc: int, text: str | None) -> tuple:
+    words = planted(doc, text)
+    found = periodic_runs(words)
+    gone = {i for s, n, p in found for i in range(s + p, s + n)}
+    best = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else (None, None, None)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    listed = "".join(f"{s},{n},{p}\n" for s, n, p in found).encode()
+    return len(found), *best, best[1] * 1000 // best[2] if found else None, sha(listed), sha(kept)
+
+
+def best_products(vectors: list[tuple], picked, k: int = 5) -> set[tuple]:
+    """(query_id, rank, vec_id, score) over different rows (id, vector); scores end at the ends of a long."""
+    import math
+
+    end, rows = (1 << 63) - 1, {}
+    for i, v in vectors:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            rows[i, tuple(math.floor(256 * float(x)) for x in v)] = None
+    out = set()
+    for i, v in rows:
+        if picked(i):
+            scored = sorted((max(-end, min(end, -sum(a * b for a, b in zip(v, w)))), j) for j, w in rows if j != i and len(w) == len(v))
+            out |= {(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)}
+    return out
+
+
+def rebuilt(rows: list[tuple]) -> dict[int, list[tuple]]:
+    """Conversations of rows (conv_id, turn, role, text), each with the first turns of the one before it that five divides."""
+    own = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        own.setdefault(conv, []).append((role or "", text or ""))
+    h = {c: zlib.crc32(str(c).encode()) % 9 for c in own}
+    return {c: own.get(c - c % 5, [])[: h[c]] + turns[h[c] :] for c, turns in own.items()}
+
+
+def trie(convs: dict[int, list[tuple]]) -> set[tuple]:
+    members, ends = {}, {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+        ends.setdefault(tuple(turns), []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[b] for b in below) or 1
+        saved[node] = (len(members[node]) - 1) * (len(node[-1][1].encode()) if node else 0) + sum(saved[b] for b in below)
+    return {
+        (min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(children.get(node, [])), leaves[node], saved[node],
+         sha(",".join(map(str, sorted(ends.get(node, [])))).encode()))
+        for node, m in members.items()
+    }
