@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 
 from lakestrata.llm.common import stored
 
-PAGE = 64  # entries of a page
+PAGE = 512  # vectors of a leaf page
+FAN = 32  # children of an inner page at most
 SAMPLE_BYTES = 16 << 20  # of the sampled pivots that place vectors in cells, all together
 _EXACT = 1 << 53  # sums of products below this are exact in double precision
 _LONG = (1 << 63) - 1
@@ -48,7 +49,7 @@ def distances(rows: np.ndarray, center: np.ndarray) -> np.ndarray:
 
 
 def build(rows: np.ndarray, ids: np.ndarray) -> Tree:
-    """Load a tree top down: rows are dealt to the nearest of up to ``PAGE`` of them, far from each other, until a page holds them."""
+    """Load a tree top down: rows are dealt to the nearest of up to ``FAN`` of them, far from each other, until a page holds them."""
     pages: list[tuple] = []
 
     def page(some: np.ndarray, middle: np.ndarray) -> int:
@@ -58,8 +59,8 @@ def build(rows: np.ndarray, ids: np.ndarray) -> Tree:
             pages[number] = True, own, np.zeros(len(some)), distances(own, middle), ids[some]
             return number
         # farthest-first pivots out of evenly spaced rows
-        pool = own[np.linspace(0, len(own) - 1, min(len(own), 8 * PAGE)).astype(np.int64)]
-        wanted, pivots = min(PAGE, -(-len(some) // (PAGE // 2))), [pool[0]]
+        pool = own[np.linspace(0, len(own) - 1, min(len(own), 16 * FAN)).astype(np.int64)]
+        wanted, pivots = min(FAN, -(-len(some) // (PAGE // 2))), [pool[0]]
         gap = distances(pool, pool[0])
         while len(pivots) < wanted and gap.max() > 0:
             pivots.append(pool[gap.argmax()])
@@ -89,13 +90,13 @@ def bound(values: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(values), np.inf, values)
 
 
-def scores_of(rows: np.ndarray, query: np.ndarray) -> list[int]:
+def scores_of(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Whole-number inner products, exact however large; they end at the long's ends."""
     most = float(np.abs(rows).max(initial=0.0)) * float(np.abs(query).max(initial=0.0)) * max(1, len(query))
     if most < _EXACT:
-        return (rows @ query).astype(np.int64).tolist()
+        return (rows @ query).astype(np.int64)
     whole = [int(x) for x in query.tolist()]
-    return [max(-_LONG, min(_LONG, sum(int(a) * b for a, b in zip(row, whole)))) for row in rows.tolist()]
+    return np.array([max(-_LONG, min(_LONG, sum(int(a) * b for a, b in zip(row, whole)))) for row in rows.tolist()], np.int64)
 
 
 def search(tree: Tree, query: np.ndarray, k: int, at_least: int | None = None) -> list[tuple[int, int]]:
@@ -124,15 +125,21 @@ def search(tree: Tree, query: np.ndarray, k: int, at_least: int | None = None) -
             near = np.flatnonzero(outer + margin >= floor)
             if not len(near):
                 continue
-            rows, child = tree.entries[part][near], tree.child[part][near].tolist()
+            rows, child = tree.entries[part], tree.child[part]
+            if len(near) < len(rows):
+                rows, child = rows[near], child[near]
             if not tree.leaf[page]:
                 inner = rows @ query
-                for number, p, b in zip(child, inner.tolist(), bound(inner + length * tree.radii[part][near]).tolist()):
+                for number, p, b in zip(child.tolist(), inner.tolist(), bound(inner + length * tree.radii[part][near]).tolist()):
                     if b + margin >= floor:
                         heapq.heappush(queue, (-b, turn, p, number))
                         turn += 1
                 continue
-            for i, score in zip(child, scores_of(rows, query)):
+            scores = scores_of(rows, query)
+            order = np.flatnonzero(scores >= floor)
+            if len(order) > k:  # ties with the k-th stay, their ids decide
+                order = order[scores[order] >= -np.partition(-scores[order], k - 1)[k - 1]]
+            for i, score in zip(child[order].tolist(), scores[order].tolist()):
                 if len(best) < k:
                     heapq.heappush(best, (score, -i))
                 elif (score, -i) > best[0]:
@@ -309,7 +316,7 @@ def top_k(
                 some = batch.slice(at, 1024)
                 vectors = [np.array(v, np.float64) for v in some.column(1).to_pylist()]
                 place = [int(cells[len(v)].nearest(v[None])[0]) for v in vectors]
-                own = [scores_of(v[None], v)[0] for v in vectors]
+                own = [int(scores_of(v[None], v)[0]) for v in vectors]
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns, pa.array([len(v) for v in vectors], pa.int32()), pa.array(place, pa.int32()), pa.nulls(len(own), pa.int64()), pa.array(own, pa.int64())],
                     ["name", "v", "width", "cell", "at_least", "own"],

@@ -8,6 +8,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import shared_path, utf8
+from lakestrata.llm.common import shared_path, text_chunks, utf8
 
 BITS = 20  # frequencies add up to 2^BITS
 LOW = 1 << 31  # states are kept in [LOW, LOW << 32)
@@ -24,7 +25,10 @@ BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
-_CACHE = 750_000  # words of a generation; a worker remembers two
+_CACHE_BYTES = 64 << 20  # of words and ids that a task remembers
+_ENTRY = 170  # bytes that keeping a word costs besides its own and its ids
+_STRETCH = 1 << 20  # bytes of text looked up at a time
+_TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation that may end a word; an apostrophe may open a run of letters
 
 
 def shared_table(counts: np.ndarray) -> np.ndarray:
@@ -98,65 +102,84 @@ class Coder:
         return out.ravel()[: count - begin * lanes]
 
 
-class Words(dict):
-    """Ids of words as bytes, found when first asked for: the tokenizer drops white space and never looks across it.
+class Words:
+    """Ids of texts as bytes, word by word: the tokenizer drops white space and never looks across it.
 
-    A worker keeps the words it has met; when they are ``_CACHE``, they become the older
-    generation, from which those still in use are taken over. A comma
-    or full stop behind a letter is a token run of its own, and ASCII letters are
-    lower-cased anyway, so such words share what their bare form has. A word of letters is
-    one run: it takes the tokenizer's normalizer, byte alphabet and model without the
-    search for runs; anything else takes the whole tokenizer.
+    The words of a stretch of texts that are not known yet are joined by blanks and go
+    through the tokenizer in one call; the places its tokens come from tell whose they are.
+    Punctuation behind a letter is a run of its own, and ASCII letters are lower-cased
+    anyway, so such words share what their bare form has. Letters that the normalizer may
+    turn into a letter and a mark stay with what follows them. What is known is dropped
+    when keys, ids and their keeping reach ``_CACHE_BYTES``.
     """
 
-    def __init__(self, path: str, kind: str) -> None:
+    def __init__(self, tokenizer, kind: str) -> None:
+        self.tokenizer, self.kind, self.known, self.size = tokenizer, kind, {}, 0
+        self.letters: dict[str, bool] = {}
+
+    def _ends_a_run(self, letter: str) -> bool:
+        if letter not in self.letters:
+            plain = self.tokenizer.normalizer.normalize_str(letter)
+            self.letters[letter] = letter < "\u0250" and len(plain) == 1 and plain.isalpha()
+        return self.letters[letter]
+
+    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
+        """What the ids of a word are put together from."""
+        if word.isalpha():
+            return word.lower(), b""
+        bare = word.rstrip(_TAIL)
+        if not bare or b"<|" in word:
+            return word, b""
+        if bare.isalpha():
+            return bare.lower(), word[len(bare) :]
+        if len(bare) < len(word) and self._ends_a_run(bare[-4:].decode(errors="ignore")[-1:] or "."):
+            return bare, word[len(bare) :]
+        return word, b""
+
+    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
+        """The ids of each of some different words."""
+        for at in range(0, len(words), 2048):
+            texts = [w.decode() for w in words[at : at + 2048]]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            start = np.fromiter((s for s, _ in found.offsets), np.int64, len(found.ids))
+            cut = np.searchsorted(start, begin).tolist()
+            ids, width = np.array(found.ids, self.kind).tobytes(), np.dtype(self.kind).itemsize
+            for a, b in zip(cut, cut[1:]):
+                yield ids[a * width : b * width]
+
+    def _learn(self, fresh: set[bytes]) -> None:
+        parts = {w: self._parts(w) for w in fresh}
+        # a word that is its own bare form has its ids from here
+        open_ = [w for w in {p for pair in parts.values() for p in pair if p} if w not in self.known]
+        for word, ids in zip(open_, self._encode(open_)):
+            self.known[word] = ids
+            self.size += len(word) + len(ids) + _ENTRY
+        for word, (bare, tail) in parts.items():
+            if bare != word:
+                self.known[word] = ids = self.known[bare] + self.known[tail] if tail else self.known[bare]
+                self.size += len(word) + len(ids) + _ENTRY
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        if self.size > _CACHE_BYTES:
+            self.known, self.size = {}, 0
+        split = [text.split() for text in texts]
+        fresh = set(chain.from_iterable(split)).difference(self.known)
+        if fresh:
+            self._learn(fresh)
+        look = self.known.__getitem__
+        return [b"".join(map(look, words)) for words in split]
+
+
+def worker_tokenizer(path: str):
+    """The worker's tokenizer, read once; nothing else outlives a task."""
+    held = sys.modules.setdefault("_lakestrata_worker_state", types.ModuleType("_lakestrata_worker_state")).__dict__
+    if path not in held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.kind, self.alphabet = Tokenizer.from_file(path), kind, {}
-        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        self.old: dict[bytes, bytes] = {}
-        self.pack = "H" if kind == "<u2" else "I"
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            text = word.decode()
-            bare, tail = (text[:-1], text[-1]) if text[-1] in ",." and text[-2:-1].isalpha() else (text, "")
-            if bare.isascii() and "<|" not in bare:
-                bare = bare.lower()
-            if tail or bare != text:
-                ids = self[bare.encode()] + (self[tail.encode()] if tail else b"")
-            else:
-                found = self._run(text) if text.isalpha() else self.tokenizer.encode(text, add_special_tokens=False).ids
-                ids = struct.pack(f"<{len(found)}{self.pack}", *found)
-        self[word] = ids
-        return ids
-
-    def _run(self, text: str) -> list[int]:
-        plain = text if text.isascii() else self.normalizer.normalize_str(text)
-        if not plain.isalpha():
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        for letter in set(plain):
-            if ord(letter) not in self.alphabet:
-                self.alphabet[ord(letter)] = self.tokenizer.pre_tokenizer.pre_tokenize_str(letter)[0][0]
-        return [t.id for t in self.model.tokenize(plain.translate(self.alphabet))]
-
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            if len(self) > _CACHE:
-                self.old = dict(self)
-                self.clear()
-            yield b"".join(map(self.__getitem__, text.split()))
-
-
-def worker_words(path: str, kind: str) -> Words:
-    """The worker's own :class:`Words`, kept from task to task."""
-    held = sys.modules.setdefault("_lakestrata_worker_state", types.ModuleType("_lakestrata_worker_state")).__dict__
-    if (path, kind) not in held:
-        held[path, kind] = Words(path, kind)
-    return held[path, kind]
+        held[path] = Tokenizer.from_file(path)
+    return held[path]
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, part_bytes: int, doc_id: str, text: str) -> DataFrame:
@@ -166,16 +189,15 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, part_byte
     ordered = docs.select(F.col(doc_id).alias("doc_id"), utf8(F.col(text)).alias("text")).repartitionByRange(max(1, -(-total // part_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, row, first = worker_words(tokenizer, kind), TaskContext.get().partitionId(), 0, 0
+        words, part, row, first = Words(worker_tokenizer(tokenizer), kind), TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                ids = [found + end for found in words.ids([t.as_py() for t in some.column(1)])]
+            for docs, texts in text_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _STRETCH):
+                ids = [found + end for found in words.ids(texts)]
                 lengths = np.array([len(x) // len(end) for x in ids], np.int64)
                 before = first + np.cumsum(lengths) - lengths
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), some.column(0), pa.array(lengths), pa.array(ids, pa.binary())],
+                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), pa.array(docs, batch.schema.field(0).type), pa.array(lengths), pa.array(ids, pa.binary())],
                     ["part", "row", "first", "doc_id", "n_tokens", "ids"],
                 )
                 row, first = row + len(ids), first + int(lengths.sum())

@@ -91,7 +91,7 @@ def test_top_k_of_odd_rows(spark, seed, tile_rows, slice_rows):
 
 def test_tree_leaves_computations_out():
     rng = np.random.default_rng(3)
-    rows = np.floor(np.concatenate([rng.normal(0, 4, (300, 8)) + 100 * c for c in rng.normal(0, 1, (10, 8))]))
+    rows = np.floor(np.concatenate([rng.normal(0, 4, (3000, 8)) + 100 * c for c in rng.normal(0, 1, (10, 8))]))
     tree = metric_tree.build(rows, np.arange(len(rows)))
     again = metric_tree.tree_of(tree.to_bytes())
     seen = []
@@ -103,12 +103,12 @@ def test_tree_leaves_computations_out():
 
     metric_tree.scores_of = count
     try:
-        for query in rows[::100]:
+        for query in rows[::1000]:
             want = sorted(zip((-(rows @ query)).astype(int).tolist(), range(len(rows))))[:5]
             assert metric_tree.search(again, query, 5) == [(-s, i) for s, i in want]
     finally:
         metric_tree.scores_of = counted
-    assert sum(seen) < 0.3 * len(rows) * len(rows[::100])
+    assert sum(seen) < 0.3 * len(rows) * len(rows[::1000])
 
 
 def told(df):
