@@ -20,13 +20,13 @@ from lakestrata.llm.common import shared_path, text_chunks, utf8
 
 BITS = 20  # frequencies add up to 2^BITS
 LOW = 1 << 31  # states are kept in [LOW, LOW << 32)
-LANES = 1024  # interleaved states of a full block
+LANES = 2048  # interleaved states of a full block
 BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
-_CACHE_BYTES = 64 << 20  # of words and ids that a task remembers
-_ENTRY = 170  # bytes that keeping a word costs besides its own and its ids
+_CACHE_BYTES = 96 << 20  # of words and ids that a task remembers
+_ENTRY = 130  # bytes that keeping a word costs besides its own and its ids
 _STRETCH = 1 << 20  # bytes of text looked up at a time
 _TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation that may end a word; an apostrophe may open a run of letters
 
@@ -105,60 +105,71 @@ class Coder:
 class Words:
     """Ids of texts as bytes, word by word: the tokenizer drops white space and never looks across it.
 
-    The words of a stretch of texts that are not known yet are joined by blanks and go
-    through the tokenizer in one call; the places its tokens come from tell whose they are.
-    Punctuation behind a letter is a run of its own, and ASCII letters are lower-cased
-    anyway, so such words share what their bare form has. Letters that the normalizer may
-    turn into a letter and a mark stay with what follows them. What is known is dropped
-    when keys, ids and their keeping reach ``_CACHE_BYTES``.
+    The words of a stretch of texts that are not known yet go through the tokenizer joined
+    by blanks. Punctuation behind a letter is a run of its own, and ASCII letters are
+    lower-cased anyway, so such words share what their bare form has; letters that the
+    normalizer may turn into a letter and a mark stay with what follows them. What is known
+    is dropped when keys, ids and their keeping reach ``_CACHE_BYTES``.
     """
 
     def __init__(self, tokenizer, kind: str) -> None:
         self.tokenizer, self.kind, self.known, self.size = tokenizer, kind, {}, 0
-        self.letters: dict[str, bool] = {}
+        self.letters: dict[str, str] = {}  # letter → what the model reads for it; nothing where it has to be seen in its word
 
-    def _ends_a_run(self, letter: str) -> bool:
+    def _letter(self, letter: str) -> str:
         if letter not in self.letters:
             plain = self.tokenizer.normalizer.normalize_str(letter)
-            self.letters[letter] = letter < "\u0250" and len(plain) == 1 and plain.isalpha()
+            # Latin letters; the normalizer makes a letter and a mark of some
+            simple = letter < "\u0250" and letter.isalpha() and len(plain) == 1 and plain.isalpha()
+            self.letters[letter] = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)[0][0] if simple else ""
         return self.letters[letter]
 
-    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
-        """What the ids of a word are put together from."""
-        if word.isalpha():
-            return word.lower(), b""
-        bare = word.rstrip(_TAIL)
-        if not bare or b"<|" in word:
-            return word, b""
-        if bare.isalpha():
-            return bare.lower(), word[len(bare) :]
-        if len(bare) < len(word) and self._ends_a_run(bare[-4:].decode(errors="ignore")[-1:] or "."):
-            return bare, word[len(bare) :]
-        return word, b""
-
-    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
-        """The ids of each of some different words."""
-        for at in range(0, len(words), 2048):
-            texts = [w.decode() for w in words[at : at + 2048]]
-            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
-            start = np.fromiter((s for s, _ in found.offsets), np.int64, len(found.ids))
-            cut = np.searchsorted(start, begin).tolist()
+    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Some different words, each with its ids."""
+        seen, tokens, pack = [], self.tokenizer.model.tokenize, {2: "H", 4: "I"}[np.dtype(self.kind).itemsize]
+        for word in words:
+            # a word of plain letters is one run, which the model reads as it is
+            if word.isalpha():
+                text = word.decode()
+            else:
+                text = word.decode()
+                letters = [self._letter(x) for x in text] if text.isalpha() else [""]
+                if not all(letters):
+                    seen.append(text)
+                    continue
+                text = "".join(letters)
+            ids = [t.id for t in tokens(text)]
+            yield word, struct.pack(f"<{len(ids)}{pack}", *ids)
+        for at in range(0, len(seen), 2048):
+            some = seen[at : at + 2048]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begin = np.cumsum([0, *(len(w) + 1 for w in some)])
+            cut = np.searchsorted(np.array([s for s, _ in found.offsets], np.int64), begin).tolist()
             ids, width = np.array(found.ids, self.kind).tobytes(), np.dtype(self.kind).itemsize
-            for a, b in zip(cut, cut[1:]):
-                yield ids[a * width : b * width]
-
-    def _learn(self, fresh: set[bytes]) -> None:
-        parts = {w: self._parts(w) for w in fresh}
-        # a word that is its own bare form has its ids from here
-        open_ = [w for w in {p for pair in parts.values() for p in pair if p} if w not in self.known]
-        for word, ids in zip(open_, self._encode(open_)):
-            self.known[word] = ids
-            self.size += len(word) + len(ids) + _ENTRY
-        for word, (bare, tail) in parts.items():
-            if bare != word:
-                self.known[word] = ids = self.known[bare] + self.known[tail] if tail else self.known[bare]
-                self.size += len(word) + len(ids) + _ENTRY
+            for word, a, b in zip(some, cut, cut[1:]):
+                yield word.encode(), ids[a * width : b * width]
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        low = b" ".join(fresh).lower().split()
+        bare = [word.rstrip(_TAIL) for word in low]
+        for k, (word, short) in enumerate(zip(low, bare)):
+            if short.isalpha():
+                continue
+            # capitals take other marks than small letters, and special tokens are told by case
+            if not word.isascii() or b"<|" in word:
+                low[k] = word = fresh[k]
+                bare[k] = short = word.rstrip(_TAIL)
+            if len(short) != len(word) and (b"<|" in word or not (short[-1:].isalpha() or self._letter(short[-4:].decode(errors="ignore")[-1:] or "."))):
+                bare[k] = word
+        known = self.known
+        open_ = {b for b in bare if b not in known}
+        open_.update(w[len(b) :] for w, b in zip(low, bare) if len(w) != len(b) and w[len(b) :] not in known)
+        for word, ids in self._encode(list(open_)):
+            known[word] = ids
+            self.size += 2 * len(word) + _ENTRY
+        for word, whole, short in zip(fresh, low, bare):
+            known[word] = known[short] if len(short) == len(whole) else known[short] + known[whole[len(short) :]]
+        self.size += sum(map(len, fresh)) * 2 + _ENTRY * len(fresh)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if self.size > _CACHE_BYTES:
@@ -166,7 +177,7 @@ class Words:
         split = [text.split() for text in texts]
         fresh = set(chain.from_iterable(split)).difference(self.known)
         if fresh:
-            self._learn(fresh)
+            self._learn(list(fresh))
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in split]
 
@@ -182,30 +193,42 @@ def worker_tokenizer(path: str):
     return held[path]
 
 
-def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, part_bytes: int, doc_id: str, text: str) -> DataFrame:
-    """``(part, row, first, doc_id, n_tokens, ids)`` in ascending id order: parts follow each other, rows inside a part too."""
+def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabulary: int, part_bytes: int, doc_id: str, text: str) -> DataFrame:
+    """``(part, row, first, doc_id, n_tokens, ids, seen)`` in ascending id order: parts follow each other, rows inside a part too.
+
+    The last row of a part is no document: its ``seen`` has the tokens of the part and how
+    often each occurs, so that nothing has to be read again to count them.
+    """
     id_type = docs.schema[doc_id].dataType.simpleString()
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ordered = docs.select(F.col(doc_id).alias("doc_id"), utf8(F.col(text)).alias("text")).repartitionByRange(max(1, -(-total // part_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
+    names = ["part", "row", "first", "doc_id", "n_tokens", "ids", "seen"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, row, first = Words(worker_tokenizer(tokenizer), kind), TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], kind).tobytes()
+        end, seen = np.array([end_id], kind).tobytes(), np.zeros(vocabulary, np.int64)
         for batch in batches:
+            id_kind = batch.schema.field(0).type
             for docs, texts in text_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _STRETCH):
                 ids = [found + end for found in words.ids(texts)]
+                seen += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=vocabulary)
                 lengths = np.array([len(x) // len(end) for x in ids], np.int64)
                 before = first + np.cumsum(lengths) - lengths
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), pa.array(docs, batch.schema.field(0).type), pa.array(lengths), pa.array(ids, pa.binary())],
-                    ["part", "row", "first", "doc_id", "n_tokens", "ids"],
+                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), pa.array(docs, id_kind), pa.array(lengths), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names,
                 )
                 row, first = row + len(ids), first + int(lengths.sum())
+        if row:
+            used = np.flatnonzero(seen)
+            told = used.astype("<i8").tobytes() + seen[used].astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([x], pa.int64()) for x in (part, -1, first)), pa.nulls(1, id_kind), pa.array([0], pa.int64()), pa.nulls(1, pa.binary()), pa.array([told], pa.binary())], names,
+            )
 
-    return ordered.mapInArrow(run, f"part bigint, row bigint, first bigint, doc_id {id_type}, n_tokens bigint, ids binary")
+    return ordered.mapInArrow(run, f"part bigint, row bigint, first bigint, doc_id {id_type}, n_tokens bigint, ids binary, seen binary")
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vocabulary: int = 49408, part_bytes: int = 16 << 20, doc_id: str = "doc_id", text: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vocabulary: int = 49408, part_bytes: int = 32 << 20, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every text, end it with ``end_id``, and write all ids below ``path`` in ascending id order.
 
     ``path/table`` holds the shared frequencies, counted over all tokens; ``path/blocks``
@@ -224,20 +247,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vo
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
     id_type = docs.schema[doc_id].dataType.simpleString()
     raw = shared_path(spark, "tokens")
-    tokenised(docs, tokenizer, end_id, kind, part_bytes, doc_id, text).write.option("compression", "zstd").parquet(raw)
-    tokens = spark.read.parquet(raw)
+    tokenised(docs, tokenizer, end_id, kind, vocabulary, part_bytes, doc_id, text).write.parquet(raw)
+    stored = spark.read.parquet(raw)
+    tokens = stored.where("seen is null").select("part", "row", "first", "doc_id", "n_tokens", "ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=vocabulary) if len(ids.as_buffer()) > 8192 else 0
-            small = b"".join(x.as_py() for x in batch.column(0) if len(x.as_buffer()) <= 8192)
-            seen += np.bincount(np.frombuffer(small, kind), minlength=vocabulary)
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], ["token", "n"])
-
-    seen = tokens.select("ids").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
+            for told in batch.column(0).to_pylist():
+                used, n = np.frombuffer(told, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n)], ["token", "n"])
+
+    # one row per entry of the vocabulary at most
+    seen = stored.where("seen is not null").select("seen").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(vocabulary, np.int64)
     for row in seen:
         counts[row["token"]] = row["n"]

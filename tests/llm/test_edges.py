@@ -209,7 +209,8 @@ def test_tokens_over_several_blocks(spark, monkeypatch):
 def test_words_match_the_whole_tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer, words = Tokenizer.from_file(queries.tokenizer_path()), rans.Words(queries.tokenizer_path(), "<u2")
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    words = rans.Words(tokenizer, "<u2")
     texts = ["", "İstanbul ΣΑΣ ﬁ don't I'LL x's, a!, <|endoftext|>, <|ENDOFTEXT|>. ٣٤ 你好,世界. \x1c\x1fz ªº ǅ ⅷ", "a.b.c, d..,e ,. .,. ’tis 'S. l’été, naïve. ß ẞ"]
     rng = random.Random(1)
     for _ in range(500):
@@ -218,6 +219,20 @@ def test_words_match_the_whole_tokenizer():
         assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_before_punctuation_match_the_whole_tokenizer(monkeypatch):
+    """Every code point before a comma and a full stop, alone and behind another letter; the cache is dropped many times."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(rans, "_CACHE_BYTES", 1 << 20)
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    words = rans.Words(tokenizer, "<u2")
+    points = [chr(c) for c in [*range(33, 0xD800), *range(0xE000, 0x30000, 7)]]
+    for at in range(0, len(points), 4096):
+        some = [f"{before}{p}{after}" for p in points[at : at + 4096] for before, after in (("", ","), ("ab", "."), ("É", ",x"), ("", "!?"))]
+        want = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in words.ids([t.encode() for t in some])] == want
+
+
 def test_language(spark, docs, clashing):
     nothing = language.learn(docs.limit(0))
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
