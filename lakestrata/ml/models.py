@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.functions.measures import observed_or
+from lakestrata.functions.stable import key_bucket
+from lakestrata.ml.boosting import SoftmaxBooster
 from lakestrata.ml.features import coerce_numbers, feature_stages, with_class_weights
 
 # The tuned settings of each model. A tree depth over 30 is not available in Spark.
 CONSUMPTION_FOREST = {"maxDepth": 30, "numTrees": 112}
 EMISSION_FOREST = {"maxDepth": 27, "numTrees": 134}
 PRODUCTION_FOREST = {"maxDepth": 19, "numTrees": 171}
-SURFACE_BOOST = {"maxIter": 241, "stepSize": 0.03542260908465626}
+SURFACE_BOOST = {"maxIter": 241, "stepSize": 0.03542260908465626, "l2": 0.17592525267734538}
 RETROFIT_BOOST = {
     "maxIter": 254, "stepSize": 0.6660996028542977, "maxDepth": 6, "maxBins": 39,
     "minInstancesPerNode": 96, "subsamplingRate": 0.7940010712056597,
@@ -30,10 +32,9 @@ def balanced_forest(label: str, seed: int = 0, **params: Any) -> RandomForestCla
     return RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="weight", seed=seed, **params)
 
 
-def boosted_classes(label: str, seed: int = 0, parallelism: int = 3, **params: Any) -> OneVsRest:
-    """Multi-class boosted trees: Spark boosts binary targets, so one model per class."""
-    booster = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, **params)
-    return OneVsRest(classifier=booster, labelCol=label, featuresCol="features", parallelism=parallelism)
+def boosted_classes(label: str, **params: Any) -> SoftmaxBooster:
+    """Multi-class boosted trees: one softmax model for all classes."""
+    return SoftmaxBooster(label, "features", **params)
 
 
 def boosted_binary(label: str, validation: str | None = None, **params: Any) -> GBTClassifier:
@@ -84,6 +85,28 @@ def impute_target(
     return scored.withColumn(target, observed_or(F.col(target), F.col("_predicted"))).drop("_predicted")
 
 
+def cross_fitted(
+    df: DataFrame, target: str, key: str, fit: Callable[[DataFrame], PipelineModel], numeric: Sequence[str], output: str,
+    folds: int = 3, first_class: int = 0,
+) -> DataFrame:
+    """Every row with a prediction by a model that never saw it, as ``output``.
+
+    Rows are dealt to ``folds`` by a hash of ``key``, so rows of one key stay together and a
+    rerun deals alike; the rows of a fold are predicted by the model ``fit`` makes of the
+    other folds. Rows without the target are never fitted on, so the models of all folds
+    are new to them; they are predicted by that of their own fold too.
+    """
+    if folds < 2:
+        raise ValueError("folds are two or more")
+    dealt = df.withColumn("_fold", key_bucket(folds, F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    out = None
+    for fold in range(folds):
+        model = fit(dealt.where(F.col("_fold") != fold).drop("_fold"))
+        rows = predict(model, dealt.where(F.col("_fold") == fold).drop("_fold"), numeric, output, first_class)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def feature_importance(model: PipelineModel, sample: DataFrame) -> DataFrame:
     """(feature, importance) of the fitted tree model; names come from the vector's metadata."""
     trees = model.stages[-1]

@@ -197,21 +197,62 @@ def score_batch(src: Source) -> DataFrame:
     return models.predict(model, frame.drop("long", "known"), ["step"], "long").select("doc_id", "step", "long")
 
 
-@query("op_impute_boosted", """
-    SELECT p_partkey, p_size, p_partkey % 4 <> 2 AS known, CASE WHEN p_size < 17 THEN 1 WHEN p_size < 34 THEN 2 ELSE 3 END AS size_class
-    FROM part
-""")
-def impute_boosted(src: Source) -> DataFrame:
-    """Missing size classes from one boosted model per class."""
+def _sized(src: Source) -> DataFrame:
+    """Parts with a class that follows from their size; unknown for a quarter, but for each size known of its first part."""
+    first = src.part.groupBy("p_size").agg(F.min("p_partkey").alias("first_key"))
     rule = F.when(F.col("p_size") < 17, 1).when(F.col("p_size") < 34, 2).otherwise(3)
-    frame = src.part.select("p_partkey", "p_brand", "p_size", F.when(F.col("p_partkey") % 4 != 2, rule).alias("size_class"))
-    frame = frame.withColumn("known", F.col("size_class").isNotNull())
-    model = models.train_classifier(
-        frame, "size_class", ["p_size"], ["p_brand"], models.boosted_classes("label", maxIter=3, maxDepth=3, **_EXACT_TREES), first_class=1
-    )
+    known = (F.col("p_partkey") % 4 != 2) | (F.col("p_partkey") == F.col("first_key"))
+    rows = src.part.join(first, ["p_size"]).select("p_partkey", "p_brand", "p_size", known.alias("known"))
+    return rows.withColumn("size_class", F.when(F.col("known"), rule))
+
+
+_SIZED = """SELECT p_partkey, p_size, p_partkey % 4 <> 2 OR p_partkey = min(p_partkey) OVER (PARTITION BY p_size) AS known,
+           CASE WHEN p_size < 17 THEN 1 WHEN p_size < 34 THEN 2 ELSE 3 END AS size_class FROM part"""
+
+
+@query("op_impute_boosted", _SIZED)
+def impute_boosted(src: Source) -> DataFrame:
+    """Missing size classes from one boosted model of all classes."""
+    frame = _sized(src)
+    booster = models.boosted_classes("label", maxIter=10, stepSize=0.5, maxDepth=3, minInstancesPerNode=1)
+    model = models.train_classifier(frame, "size_class", ["p_size"], ["p_brand"], booster, first_class=1)
     return models.impute_target(frame, model, "size_class", ["p_size"], first_class=1).select("p_partkey", "p_size", "known", "size_class")
 
 
+@query("op_boosted_multiclass", """
+    SELECT l_orderkey, l_linenumber, l_quantity::INTEGER AS quantity, CASE WHEN l_discount < 0.03 THEN 0 WHEN l_quantity < 20 THEN 1
+           WHEN l_quantity < 35 THEN 2 ELSE 3 END AS grade FROM lineitem
+""")
+def boosted_multiclass(src: Source) -> DataFrame:
+    """Four grades that follow from two measures, learned from a half of the lines, told of all."""
+    rule = F.when(F.col("l_discount") < 0.03, 0).when(F.col("l_quantity") < 20, 1).when(F.col("l_quantity") < 35, 2).otherwise(3)
+    frame = src.lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("quantity"), F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+        "l_returnflag", F.when(F.col("l_orderkey") % 2 == 0, rule).alias("known_grade"),
+    )
+    booster = models.boosted_classes("label", maxIter=12, stepSize=0.5, maxDepth=3, minInstancesPerNode=1)
+    model = models.train_classifier(frame, "known_grade", ["quantity", "discount"], ["l_returnflag"], booster)
+    return models.predict(model, frame, ["quantity", "discount"], "grade").select("l_orderkey", "l_linenumber", "quantity", "grade")
+
+
+@query("op_cross_fitted", """
+    SELECT p_partkey, p_size, p_partkey % 3 <> 0 AS known, CASE WHEN p_size < 26 THEN 1 ELSE 2 END AS predicted FROM part
+    WHERE p_size % 5 = 0
+""")
+def cross_fitted(src: Source) -> DataFrame:
+    """A prediction for every part by a model that never saw it; sizes are few, so that each fold knows all of them."""
+    rule = F.when(F.col("p_size") < 26, 1).otherwise(2)
+    frame = src.part.where("p_size % 5 = 0").select("p_partkey", "p_size", (F.col("p_partkey") % 3 != 0).alias("known"))
+    frame = frame.withColumn("target", F.when(F.col("known"), rule))
+
+    def fit(rows: DataFrame):
+        booster = models.boosted_classes("label", maxIter=3, stepSize=1.0, maxDepth=2, minInstancesPerNode=1)
+        return models.train_classifier(rows, "target", ["p_size"], [], booster, first_class=1)
+
+    found = models.cross_fitted(frame, "target", "p_partkey", fit, ["p_size"], "predicted", first_class=1)
+    return found.select("p_partkey", "p_size", "known", "predicted")
+
+
 @query("op_feature_importance", """
     SELECT 'step_filled' AS feature, (count(DISTINCT n_chars // 400 >= 5) = 2)::INTEGER::DOUBLE AS importance FROM documents
     UNION ALL SELECT 'same_filled', 0.0::DOUBLE
