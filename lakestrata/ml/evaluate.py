@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -36,6 +39,47 @@ def binary_metrics(df: DataFrame, label: str, prediction: str, *by: str) -> Data
     })
 
 
+def permutation_importance(
+    df: DataFrame, row: str, features: Sequence[str], predict: Callable[[DataFrame], DataFrame], label: str, prediction: str, seed: int = 1,
+) -> DataFrame:
+    """(feature, n, n_wrong, n_wrong_exchanged, importance): how much more often the model errs when a feature is exchanged between rows.
+
+    ``row`` numbers the rows densely from 0 (see ``dense_id``). Row i takes the feature of row
+    (a·i + b) mod n, with a prime to n and b by ``seed``: a pairing that needs neither the
+    driver nor a sort, and every value is taken once. Rows meet their partners in one join;
+    each row then stands once as it is and once per feature, so one pass of ``predict``, which
+    adds ``prediction``, tells all. ``importance`` is the difference of the shares of errors: 0
+    for a feature the model doesn't read. Rows without a label are left out of the counts,
+    but lend their values.
+    """
+    n = df.count()
+    step, shift = _pairing(n, seed)
+    at = ((F.col(row).cast("decimal(38,0)") * F.lit(step) + F.lit(shift)) % F.lit(max(1, n))).cast("bigint")
+    lent = df.select(F.col(row).alias("_lender"), F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(features)]).alias("_lent"))
+    paired = df.where(F.col(label).isNotNull()).withColumn("_partner", at).join(lent, F.col("_partner") == F.col("_lender"))
+    variants = paired.withColumn("_feature", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
+    exchanged = variants.withColumns({
+        c: F.when(F.col("_feature") == i, F.col("_lent")[f"f{i}"]).otherwise(F.col(f"`{c}`")) for i, c in enumerate(features)
+    }).drop("_partner", "_lender", "_lent")
+    wrong = F.count(F.when(~F.col(label).eqNullSafe(F.col(prediction)), 1))
+    told = predict(exchanged).groupBy("_feature").agg(F.count(F.lit(1)).alias("n"), wrong.alias("n_wrong_exchanged"))
+    # one row per feature and one for the rows as they are from here on
+    everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    beside = told.withColumn("n_wrong", F.max(F.when(F.col("_feature") == -1, F.col("n_wrong_exchanged"))).over(everything)).where("_feature >= 0")
+    names = F.array(*[F.lit(c) for c in features])
+    return beside.select(
+        names[F.col("_feature")].alias("feature"), "n", "n_wrong", "n_wrong_exchanged", ((F.col("n_wrong_exchanged") - F.col("n_wrong")) / F.col("n")).alias("importance"),
+    )
+
+
+def _pairing(n: int, seed: int) -> tuple[int, int]:
+    """(a, b) of the pairing i → (a·i + b) mod n: about 0.618 n, the next number prime to n."""
+    step = max(1, int(n * 0.6180339887498949))
+    while math.gcd(step, max(1, n)) > 1:
+        step += 1
+    return step, seed % max(1, n)
+
+
 def _checked(score: str) -> Column:
     """The score; outside [0, 1] it is an error, null stays null."""
     value = F.col(score).cast("double")

@@ -45,14 +45,36 @@ def segment_counts(df: DataFrame, dimensions: Sequence[str], name: str = "count"
     return df.groupBy(*dimensions).agg(F.count(F.lit(1)).alias(name))
 
 
-def attach_group_size(df: DataFrame, key: str, name: str = "count") -> DataFrame:
-    """Each row with the size of its group.
+def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Keys that may hold ``share`` of the rows or more, at most ``2 / share`` of them, by a mergeable sketch.
 
-    A window would bring a whole group into one task; the counts are reduced
-    map-side and joined back instead, so a hot group stays spread out.
+    The sketch counts no key short by more than 3.5 rows of ``tracked``, so none of that
+    share is missed; null is none.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, [key], "inner")
+    tracked = 1 << max(8, int(4 / share).bit_length())
+    row = df.select(F.col(key).alias("k")).where("k is not null").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {int(2 / share)}, {tracked})").alias("top")
+    ).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
+
+
+def attach_group_size(df: DataFrame, key: str, name: str = "count", share: float = 0.01) -> DataFrame:
+    """Each row with the size of its group; rows without a key go.
+
+    A window would bring a whole group into one task. The counts are reduced map-side and
+    joined back instead: those of keys that hold ``share`` of the rows or more, which are
+    few, by broadcast, so that such rows stay where they are; only the rest is shuffled.
+    """
+    def sized(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+
+    heavy = heavy_keys(df, key, share)
+    if not heavy:
+        return df.join(sized(df), [key], "inner")
+    hot = F.col(key).isin(heavy)
+    rest = df.where(~hot)
+    # at most 2 / share keys
+    return df.where(hot).join(F.broadcast(sized(df.where(hot))), [key], "inner").unionByName(rest.join(sized(rest), [key], "inner"))
 
 
 def union_vintages(*frames: DataFrame) -> DataFrame:

@@ -64,17 +64,25 @@ def lagged_panel(
 ) -> DataFrame:
     """(entity, period) with every measure at each lag, as ``<measure>_<lag>``; any missing lag drops the row.
 
-    The lags are joined on the panel itself, so the (large) facts later join once
-    instead of once per lag.
+    Every panel row is sent to the periods it serves and the lags of a period are put side
+    by side: the panel is read once and shuffled once, combined map-side, and the (large)
+    facts later join once instead of once per lag. A panel has one row per entity and
+    period; two are an error. Rows without an entity or a period serve none.
     """
-    def shifted(lag: int) -> DataFrame:
-        return panel.select(
-            entity, (F.col(period) + lag).alias(period), *[F.col(m).alias(f"{m}_{lag}") for m in measures]
-        )
-
-    return functools.reduce(
-        lambda left, right: left.join(right, [entity, period], "inner"), [shifted(lag) for lag in lags]
+    lags = list(dict.fromkeys(lags))
+    sent = panel.where(F.col(entity).isNotNull() & F.col(period).isNotNull()).select(
+        entity, F.col(period).alias("_at"), *measures, F.explode(F.array(*[F.lit(lag) for lag in lags])).alias("_lag")
+    ).select(entity, (F.col("_at") + F.col("_lag")).alias(period), *measures, "_lag")
+    at = {lag: F.col("_lag") == lag for lag in lags}
+    sides = sent.groupBy(entity, period).agg(
+        *[F.count(F.when(at[lag], 1)).alias(f"_n_{i}") for i, lag in enumerate(lags)],
+        *[F.max(F.when(at[lag], F.col(m))).alias(f"{m}_{lag}") for lag in lags for m in measures],
     )
+    counts = [F.col(f"_n_{i}") for i in range(len(lags))]
+    twice = functools.reduce(Column.__or__, [n > 1 for n in counts])
+    whole = functools.reduce(Column.__and__, [n == 1 for n in counts])
+    kept = F.when(twice, F.raise_error(F.lit("two panel rows of one entity and period")).cast("boolean")).otherwise(whole)
+    return sides.where(kept).drop(*[f"_n_{i}" for i in range(len(lags))])
 
 
 def lag_join(

@@ -12,6 +12,9 @@ record began. So lines are cut into chunks that run in parallel:
 3. back down level by level, the true start of every block and at last of every chunk;
 4. per chunk, one replay from its true start.
 
+Lines are in order by one number, or by a pair (block, row) as splits of a file give it:
+then the chunks of a file block are chained first, the blocks of the file after them.
+
 No step holds more than one chunk of lines or one block of outcome tables, and each
 level is a ``block_chunks``-th of the one below, so the work follows the number of lines
 however long a source is. A line that is complete on its own makes the outcome
@@ -20,9 +23,13 @@ independent of the start, so in healthy data the tables have one entry.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
+
+from lakestrata.session import cut_lineage
 
-_OUTCOME = "struct<state:int,completed:boolean,first:bigint>"
+_POS = "struct<block:bigint,row:bigint>"
+_OUTCOME = f"struct<state:int,completed:boolean,first:{_POS}>"
 
 
 def _outcome(state: Column, completed: Column, first: Column) -> Column:
@@ -89,26 +96,46 @@ def _starts(tables: Column, start: Column) -> Column:
     )
 
 
-def _all_starts(tables: DataFrame, limit: int, fan: int, low: int, high: int) -> DataFrame:
-    """(_source, key, start) of every table, whose keys lie between ``low`` and ``high``."""
-    listed = []
+def _up(tables: DataFrame, by: list[str], limit: int, fan: int, low: int, high: int) -> tuple[list[DataFrame], DataFrame]:
+    """Chain tables (``by``, key, ends) with keys from ``low`` to ``high`` level by level: the levels, and one table of each ``by``."""
+    listed: list[DataFrame] = []
     while not listed or low != high:
         group = F.floor(F.col("key") / fan).cast("bigint")
         rows = F.sort_array(F.collect_list(F.struct("key", "ends"))).alias("_tables")
-        listed.append(tables.groupBy("_source", group.alias("_group")).agg(rows))
-        tables = listed[-1].select("_source", F.col("_group").alias("key"), _block_table(F.col("_tables"), limit).alias("ends"))
+        listed.append(tables.groupBy(*by, group.alias("_group")).agg(rows))
+        tables = listed[-1].select(*by, F.col("_group").alias("key"), _block_table(F.col("_tables"), limit).alias("ends"))
         low, high = low // fan, high // fan
-    starts = listed[-1].select("_source", "_group", _start(F.lit(0)).alias("_from"), "_tables")
+    return listed, tables.drop("key")
+
+
+def _down(listed: list[DataFrame], by: list[str], starts: DataFrame) -> DataFrame:
+    """(``by``, key, start) of every table below the levels, from the start (``by``, _from) of each ``by``."""
+    starts = listed[-1].join(starts, by)
     for below in [*reversed(listed[:-1]), None]:
-        found = starts.select("_source", F.inline(_starts(F.col("_tables"), F.col("_from"))))
+        found = starts.select(*by, F.inline(_starts(F.col("_tables"), F.col("_from"))))
         if below is None:
             return found
-        starts = below.join(found.select("_source", F.col("key").alias("_group"), F.col("start").alias("_from")), ["_source", "_group"])
+        starts = below.join(found.select(*by, F.col("key").alias("_group"), F.col("start").alias("_from")), [*by, "_group"])
+
+
+def _chunk_starts(tables: DataFrame, limit: int, fan: int, low: int, high: int, blocks: bool) -> DataFrame:
+    """(_source, _block, key, start) of every chunk table."""
+    by = ["_source", "_block"]
+    inside, tops = _up(tables, by, limit, fan, low, high)
+    if not blocks:
+        return _down(inside, by, tops.select(*by, _start(F.lit(0)).alias("_from")))
+    # one row per block of a file from here on
+    rank = (F.row_number().over(Window.partitionBy("_source").orderBy("_block")) - 1).cast("bigint")
+    tops = cut_lineage(tops.withColumn("key", rank))
+    listed, whole = _up(tops.drop("_block"), ["_source"], limit, fan, 0, tops.agg(F.max("key")).first()[0] or 0)
+    found = _down(listed, ["_source"], whole.select("_source", _start(F.lit(0)).alias("_from")))
+    begins = tops.select(*by, "key").join(found, ["_source", "key"]).select(*by, F.col("start").alias("_from"))
+    return _down(inside, by, begins)
 
 
 def _pieces(lines: Column, start: Column, limit: int) -> Column:
     """Record pieces of one chunk: position of the record's first line, glued text, is it all of the record."""
-    empty = F.array().cast("array<struct<record:bigint,piece:string,whole:boolean>>")
+    empty = F.array().cast(f"array<struct<record:{_POS},piece:string,whole:boolean>>")
 
     def piece(now: Column, whole: Column) -> Column:
         return F.array(F.struct(now["first"].alias("record"), now["text"].alias("piece"), whole.alias("whole")))
@@ -144,51 +171,65 @@ def _pieces(lines: Column, start: Column, limit: int) -> Column:
 def stitch_records(
     lines: DataFrame, source: str, order: str, text: str, min_fields: int = 245,
     separator: str = ",", chunk_lines: int = 1024, block_chunks: int = 256, skip_blank: bool = True,
+    header: str | None = None,
 ) -> DataFrame:
     """Complete records as (source, record_start, record).
 
-    ``order`` is a bigint line position inside ``source``; gaps are allowed, and a
-    page and a line number combine as ``page * page_size + line``. What is left at
+    ``order`` is a bigint line position inside ``source``, or a struct (block, row) of two
+    bigints; gaps are allowed, and a page and a line number combine as
+    ``page * page_size + line``. What is left at
     the end of one page continues into the next. Blank lines carry nothing and are
     skipped; with ``skip_blank=False`` they are glued like others, which costs the open
     record its last character. Null lines are always skipped. The last record of a source is kept even when it stays short.
     ``record_start`` is the position of the record's first line, which orders the
     records without any global numbering.
+
+    With ``header``, lines equal to it belong to no record wherever they stand, and a source
+    without one is an error. The outcome tables of the chunks, one row per ``chunk_lines``
+    lines, are kept in the shared folder, so the lines are read twice in all: for the tables
+    and for the records.
     """
     limit = min_fields - 1
     line = F.col(text)
+    blocks = isinstance(lines.schema[order].dataType, StructType)
+    pos = F.col(order) if blocks else F.struct(F.lit(0).cast("bigint").alias("block"), F.col(order).cast("bigint").alias("row"))
     counted = (
         lines.where(F.length(line) > 0 if skip_blank else line.isNotNull())
         .select(
-            F.col(source).alias("_source"), F.col(order).cast("bigint").alias("pos"), line.alias("text"),
+            F.col(source).alias("_source"), pos.cast(_POS).alias("pos"), line.alias("text"),
             (F.length(line) - F.length(F.replace(line, F.lit(separator), F.lit("")))).alias("seps"),
-            line.endswith(separator).cast("int").alias("lost"),
+            line.endswith(separator).cast("int").alias("lost"), (line == F.lit(header) if header is not None else F.lit(False)).alias("head"),
         )
-        .withColumn("_chunk", F.floor(F.col("pos") / chunk_lines).cast("bigint"))
+        .withColumns({"_block": F.col("pos")["block"], "_chunk": F.floor(F.col("pos")["row"] / chunk_lines).cast("bigint")})
     )
-    chunk = ["_source", "_chunk"]
+    chunk = ["_source", "_block", "_chunk"]
 
     def in_order(*fields: Column) -> Column:
-        return F.sort_array(F.collect_list(F.struct(*fields)))
+        return F.sort_array(F.collect_list(F.when(~F.col("head"), F.struct(*fields))))
 
     bare = [F.col("pos"), F.col("seps"), F.col("lost")]
     # The outcome tables read the separator counts only, never the text.
-    chunk_tables = counted.groupBy(*chunk).agg(in_order(*bare).alias("_lines")).select(
-        *chunk, _chunk_table(F.col("_lines"), limit).alias("ends")
+    chunk_tables = cut_lineage(
+        counted.groupBy(*chunk).agg(in_order(*bare).alias("_lines"), F.max("head").alias("_headed"))
+        .select("_source", "_block", F.col("_chunk").alias("key"), _chunk_table(F.col("_lines"), limit).alias("ends"), "_headed")
     )
-    ends = counted.agg(F.min("_chunk"), F.max("_chunk")).first()
-    chunk_starts = _all_starts(
-        chunk_tables.withColumnRenamed("_chunk", "key"), limit, max(2, block_chunks), ends[0] or 0, ends[1] or 0
-    ).select("_source", F.col("key").alias("_chunk"), F.col("start").alias("_start"))
+    if header is not None:
+        bad = chunk_tables.groupBy("_source").agg(F.max("_headed").alias("_headed")).where(~F.col("_headed")).first()
+        if bad:
+            raise ValueError(f"the files have different headers: {bad['_source']}")
+    ends = chunk_tables.agg(F.min("key"), F.max("key")).first()
+    chunk_starts = _chunk_starts(
+        chunk_tables.drop("_headed"), limit, max(2, block_chunks), ends[0] or 0, ends[1] or 0, blocks
+    ).select("_source", "_block", F.col("key").alias("_chunk"), F.col("start").alias("_start"))
     pieces = (
         counted.groupBy(*chunk).agg(in_order(*bare, F.col("text")).alias("_lines"))
         .join(chunk_starts, chunk)
-        .select("_source", "_chunk", F.inline(_pieces(F.col("_lines"), F.col("_start"), limit)))
+        .select("_source", "_block", "_chunk", F.inline(_pieces(F.col("_lines"), F.col("_start"), limit)))
     )
     # Only the few records that cross a chunk border move again.
     crossing = (
         pieces.where(~F.col("whole")).groupBy("_source", "record")
-        .agg(in_order(F.col("_chunk"), F.col("piece")).alias("_parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("_block", "_chunk", "piece"))).alias("_parts"))
         .select("_source", "record", F.aggregate(
             "_parts", F.lit(None).cast("string"),
             lambda acc, p: F.when(acc.isNull(), p["piece"]).otherwise(
@@ -199,6 +240,6 @@ def stitch_records(
     return (
         pieces.where("whole").select("_source", "record", "piece").unionByName(crossing)
         .select(
-            F.col("_source").alias(source), F.col("record").alias("record_start"), F.col("piece").alias("record")
+            F.col("_source").alias(source), (F.col("record") if blocks else F.col("record")["row"]).alias("record_start"), F.col("piece").alias("record")
         )
     )

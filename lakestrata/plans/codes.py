@@ -7,8 +7,13 @@ Where a list follows a rule, the rule is written instead of the list.
 
 from __future__ import annotations
 
-# --- fixed table name in the Intermediate and Gold layers ----------------------------------
-WORKS_TABLE = "Renovation"
+# --- name of the table of works in the Intermediate and Gold layers --------------------------
+WORKS_TABLE = "Works"
+
+# --- what the largest tables are joined on, and so stored by -----------------------------------
+BUCKET_KEYS = {"dpe_france_2021": "N°DPE", "predicted_renov": "id_dpe"}
+# --- columns of a table of dwelling documents ----------------------------------------------------
+DOCUMENT_CODE, DOCUMENT_TEXT = "Code_commune_INSEE", "xml"
 
 # --- survey columns -> table columns -------------------------------------------------------
 OWNER_COLUMNS = {
@@ -24,8 +29,10 @@ DWELLING_COLUMNS = {
     "main_Q52": "thermal_comfort", "main_Q53": "energy_reduction", "main_Q38": "adjoining",
     "main_Q39": "n_floors", "main_Q40": "floor",
 }
+# The value of work 13 is the library's own.
+ROOF_INSULATION_ALONE = "roof_insulation_alone"
 WORK_TYPES = {
-    11: "roof_with_insulation", 12: "rooth_without_insulation", 13: "insulation_roof_without_renovation",
+    11: "roof_with_insulation", 12: "rooth_without_insulation", 13: ROOF_INSULATION_ALONE,
     14: "insulation_flooring_attic", 15: "roof_terrace_with_insulation", 16: "roof_terrase_without_insulation",
     21: "ext_wall_with_insulation", 22: "ext_wall_without_insulation", 23: "int_wall_with_insulation",
     24: "int_wall_without_insulation", 31: "down_flooring_with_insulation", 32: "down_flooring_without_insulation",

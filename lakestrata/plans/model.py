@@ -80,37 +80,48 @@ def with_part(df: DataFrame) -> DataFrame:
     return df.withColumn("part", hash_split(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
 
 
+def fit_imputer(target: str, rows: DataFrame, settings: Mapping[str, Mapping[str, Any]] | None = None) -> PipelineModel:
+    """The model of one target; ``settings`` overrides the fixed settings per model name."""
+    chosen = {
+        "surface": models.SURFACE_BOOST, "production": models.PRODUCTION_FOREST,
+        "consumption": models.CONSUMPTION_FOREST, "emission": models.EMISSION_FOREST, **(settings or {}),
+    }
+    name, numeric, one_hot, first = IMPUTED[target]
+    boosted = target == "surface"
+    make = models.boosted_classes if boosted else models.balanced_forest
+    return models.train_classifier(rows, target, numeric, one_hot, make("label", **chosen[name]), first_class=first, balanced=not boosted)
+
+
 def fit_imputers(
     frame: DataFrame, certificates: DataFrame, settings: Mapping[str, Mapping[str, Any]] | None = None,
 ) -> dict[str, PipelineModel]:
     """Models of the four targets, the first two from the survey frame, the grades from the certificate set.
 
-    Both inputs should be stored, as every fit reads them several times. ``settings``
-    overrides the fixed settings per model name.
+    Both inputs should be stored, as every fit reads them several times.
     """
-    chosen = {
-        "surface": models.SURFACE_BOOST, "production": models.PRODUCTION_FOREST,
-        "consumption": models.CONSUMPTION_FOREST, "emission": models.EMISSION_FOREST, **(settings or {}),
-    }
-    fitted = {}
-    for target, (name, numeric, one_hot, first) in IMPUTED.items():
-        boosted = target == "surface"
-        make = models.boosted_classes if boosted else models.balanced_forest
-        fitted[target] = models.train_classifier(
-            frame if first else certificates, target, numeric, one_hot, make("label", **chosen[name]),
-            first_class=first, balanced=not boosted,
-        )
-    return fitted
-
-
-def housing_imputed(frame: DataFrame, fitted: Mapping[str, PipelineModel], columns: list[str]) -> DataFrame:
+    return {target: fit_imputer(target, frame if first else certificates, settings) for target, (_, _, _, first) in IMPUTED.items()}
+
+
+def housing_imputed(
+    frame: DataFrame, fitted: Mapping[str, PipelineModel], columns: list[str],
+    settings: Mapping[str, Mapping[str, Any]] | None = None, folds: int = 2,
+) -> DataFrame:
     """Surveyed dwellings with surface and heating completed, then grades predicted from certificates.
 
-    Observed values are never replaced. The second pair of models reads the output of the first.
+    Observed values are never replaced. Surface and heating are cross-fitted: a dwelling's
+    value comes from a model of the other ``folds``, none of whose rows share its owner.
+    The grades' models saw certificates only; they read the completed heating. With
+    ``folds=0`` the given models predict all dwellings.
     """
     completed = frame
     for target in ("surface", "heating_production"):
-        completed = models.impute_target(completed, fitted[target], target, SURVEY_NUMERIC, first_class=1)
+        if folds:
+            told = models.cross_fitted(
+                completed, target, "id_owner", lambda rows, target=target: fit_imputer(target, rows, settings), SURVEY_NUMERIC, "_predicted", folds, 1
+            )
+            completed = told.withColumn(target, F.coalesce(target, "_predicted")).drop("_predicted")
+        else:
+            completed = models.impute_target(completed, fitted[target], target, SURVEY_NUMERIC, first_class=1)
     completed = completed.drop("DPE_consumption", "GES_emission")
     for target in ("DPE_consumption", "GES_emission"):
         completed = models.predict(fitted[target], completed, CERTIFICATE_NUMERIC, target)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakestrata.operators.aggregate import row_audit
 from lakestrata.plans import codes, gold, intermediate, model, raw, silver
@@ -22,16 +22,17 @@ def build_raw(lake: Lake, paths: Mapping[str, str], broken: tuple[str, ...] = ()
 
     Delimited tables are those of ``raw.RAW_FILES``; the ones named in ``broken`` have their
     records stitched first. ``codebook`` is delimited text of text columns,
-    ``neighbouring_dep`` adjacency text, ``housings`` a parquet table of documents. Lines
-    that didn't fit their types stay in the column ``_malformed`` of their table; the result
-    (also stored as ``Datalake.ingest_audit``) counts rows and such lines per table.
+    ``neighbouring_dep`` adjacency text, ``housings`` a parquet table of a code and an XML
+    text per municipality. Lines that didn't fit their types stay in the column
+    ``_malformed`` of their table; the result (also stored as ``Datalake.ingest_audit``)
+    counts rows and such lines per table, taken while the table is written.
     """
-    spark, counts = lake.spark, None
+    spark, counts = lake.spark, []
     for name, path in paths.items():
         if name == "neighbouring_dep":
             df = raw.neighbour_edges(spark.read.text(path))
         elif name == "housings":
-            df = housing_table(spark.read.parquet(path))
+            df = housing_table(spark.read.parquet(path), codes.DOCUMENT_CODE, codes.DOCUMENT_TEXT)
         elif name == "codebook":
             df = read_delimited(spark, path, raw.file_schema(spark, path, ";", {}), ";", malformed=MALFORMED)
         elif name in broken:
@@ -39,11 +40,19 @@ def build_raw(lake: Lake, paths: Mapping[str, str], broken: tuple[str, ...] = ()
             df = read_broken_records(spark, path, types, sep, malformed=MALFORMED).distinct()
         else:
             df = raw.read_raw(spark, name, path, MALFORMED)
-        table = lake.write(df, "Datalake", name)
-        bad = F.count(MALFORMED) if MALFORMED in table.columns else F.lit(0)
-        row = table.agg(F.count(F.lit(1)).alias("n_rows"), bad.cast("bigint").alias("n_malformed")).select(F.lit(name).alias("table_name"), "*")
-        counts = row if counts is None else counts.unionByName(row)
-    return lake.write(counts, "Datalake", "ingest_audit")
+        bad = F.count(MALFORMED) if MALFORMED in df.columns else F.lit(0).cast("bigint")
+        n_rows, n_malformed = write_counted(lake, df, "Datalake", name, F.count(F.lit(1)), bad)
+        counts.append((name, n_rows, n_malformed))
+    return lake.write(spark.createDataFrame(counts, "table_name string, n_rows bigint, n_malformed bigint"), "Datalake", "ingest_audit")
+
+
+def write_counted(lake: Lake, df: DataFrame, layer: str, name: str, *metrics: Column) -> list[int]:
+    """Write a table and return aggregates of its rows, taken by the write itself: no second scan."""
+    seen = Observation(f"{layer}.{name}")
+    keys = [codes.BUCKET_KEYS[name]] if name in codes.BUCKET_KEYS else []
+    observed = df.observe(seen, *[metric.alias(f"m{i}") for i, metric in enumerate(metrics)])
+    lake.write(observed, layer, name, bucket_by=[k for k in keys if k in df.columns])
+    return [seen.get[f"m{i}"] for i in range(len(metrics))]
 
 
 def build_intermediate(lake: Lake) -> None:
@@ -65,7 +74,8 @@ def build_intermediate(lake: Lake) -> None:
     lake.write(intermediate.weather_monthly(raw["weather"], raw["neighbouring_dep"]), "Intermediate", "Weather")
 
 
-def build_silver(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None = None) -> None:
+def build_silver(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None = None, folds: int = 2) -> None:
+    """Silver tables; the missing targets of a dwelling come from models of the other ``folds``."""
     raw = {name: lake.read("Datalake", name) for name in (
         "pop_commune_2016", "pop_commune_2020", "code_commune", "construction_licence_2016",
         "construction_licence_2023", "destruction_licence", "development_licence", "dpe_france_2021", "weather",
@@ -89,7 +99,7 @@ def build_silver(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None =
     fitted = model.fit_imputers(frame, grades, settings)
     for target, one in fitted.items():
         one.write().overwrite().save(lake.model_path(target))
-    lake.write(model.housing_imputed(frame, fitted, clean.columns), "Silver", "Housing")
+    lake.write(model.housing_imputed(frame, fitted, clean.columns, settings, folds), "Silver", "Housing")
 
 
 def evaluate_imputers(lake: Lake, settings: Mapping[str, Mapping[str, Any]] | None = None) -> DataFrame:
@@ -120,7 +130,7 @@ def score_certificates(lake: Lake, fitted: PipelineModel | None = None) -> DataF
     )
     fitted = fitted or PipelineModel.load(lake.model_path("retrofit"))
     scoring = model.retrofit_scoring(certificates, facts, geography, weather)
-    return lake.write(model.predicted_renov(scoring, fitted), "Model", "predicted_renov")
+    return lake.write(model.predicted_renov(scoring, fitted), "Model", "predicted_renov", bucket_by=[codes.BUCKET_KEYS["predicted_renov"]])
 
 
 def build_gold(lake: Lake) -> None:

@@ -31,6 +31,8 @@ def postal(k: str, variant: str) -> str:
 
 # One year for every ship year 1995-2001, spread over 2012-2022.
 _SHIFT = "year(l_shipdate) + 17 + CASE WHEN l_linestatus = 'O' THEN 4 ELSE 0 END"
+# Weather reaches two years behind the works and up to the certificates.
+_WEATHER_YEAR = "year(o_orderdate) + 17 + CASE WHEN o_orderkey % 2 = 0 THEN 4 ELSE 0 END"
 LICENCE_DATE = f"make_date(CAST({_SHIFT} AS INT), CAST(month(l_shipdate) AS INT), 1)"
 
 _SURVEY = {
@@ -163,7 +165,7 @@ RAW_SQL: dict[str, str] = {
                        "substr('ABCDEFGNZ', CAST(l_linenumber + 2 AS INT), 1) AS energy, "
                        "substr('ABCDEFGN', CAST(l_linenumber AS INT), 1) AS gas FROM {lineitem}",
     "weather": "SELECT CASE WHEN c_nationkey = 20 THEN '2A' ELSE CAST(c_nationkey + 1 AS STRING) END AS dept, "
-               "make_date(CAST(year(o_orderdate) + 20 AS INT), CAST(month(o_orderdate) AS INT), 1) AS day, "
+               f"make_date(CAST({_WEATHER_YEAR} AS INT), CAST(month(o_orderdate) AS INT), 1) AS day, "
                "CAST(o_custkey % 360 AS DOUBLE) AS wind_direction, CAST(o_orderkey % 20 AS DOUBLE) AS wind_speed, "
                "CAST(270 + o_custkey % 30 AS DOUBLE) AS temp_kelvin, CAST(40 + o_orderkey % 60 AS DOUBLE) AS humidity, "
                "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey % 2000 AS DOUBLE) END AS heigh_clouds, "

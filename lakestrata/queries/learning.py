@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.functions.stable import hash_split
 from lakestrata.ml import evaluate, features, models
+from lakestrata.operators.ids import dense_id
 from lakestrata.queries.registry import Source, query
 
 
@@ -266,3 +267,33 @@ def feature_importance(src: Source) -> DataFrame:
     )
     found = models.feature_importance(model, model.transform(features.coerce_numbers(frame, ["step", "same"])))
     return found.select("feature", F.round("importance", 9).alias("importance"))
+
+
+# The pairing of n rows: a prime to n near 0.618 n, found among the numbers from there on.
+_STEPPED = """n AS (SELECT count(*) AS n FROM documents),
+    a AS (SELECT min(k) AS a FROM (SELECT n, unnest(range(greatest(1, floor(n * 0.6180339887498949)::BIGINT), 2 * n + 2)) AS k FROM n) WHERE gcd(k, n) = 1),
+    d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i, n_chars // 400 AS step, length(lang) AS same, doc_id % 3 <> 1 AS known FROM documents)"""
+
+
+@query("op_permutation_importance", f"""
+    WITH {_STEPPED},
+    p AS (SELECT (x.step >= 5)::INTEGER AS label, (y.step >= 5)::INTEGER AS taken FROM d x, n, a, d y WHERE y.i = (x.i * a.a + 1) % n.n AND NOT x.known)
+    SELECT 'step' AS feature, count(*) AS n, 0::BIGINT AS n_wrong, count(*) FILTER (label <> taken) AS n_wrong_exchanged,
+           count(*) FILTER (label <> taken)::DOUBLE / count(*) AS importance FROM p
+    UNION ALL SELECT 'doc_id_digit', count(*), 0::BIGINT, 0::BIGINT, 0.0::DOUBLE FROM p
+""")
+def permutation_importance(src: Source) -> DataFrame:
+    """On rows that the model never saw: the feature that decides the class, and one that it has no use for."""
+    steps = _steps(src).withColumns({"doc_id_digit": F.col("doc_id") % 2, "truth": F.when(~F.col("known"), (F.col("step") >= 5).cast("int"))})
+    last = src.documents.agg(F.max("doc_id")).first()[0] or 0
+    # ids in the order of doc_id, as the oracle numbers them
+    rows = dense_id(steps, "row", ["doc_id"], 4096, bucket=F.floor(F.col("doc_id") * 4096 / (last + 1)).cast("int"))
+    model = models.train_classifier(
+        rows, "long", ["step", "doc_id_digit"], [],
+        models.balanced_forest("label", numTrees=5, maxDepth=6, featureSubsetStrategy="all", **_EXACT_TREES), balanced=True,
+    )
+
+    def told(some: DataFrame) -> DataFrame:
+        return models.predict(model, some, ["step", "doc_id_digit"], "told")
+
+    return evaluate.permutation_importance(rows, "row", ["step", "doc_id_digit"], told, "truth", "told")

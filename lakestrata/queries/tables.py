@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakestrata.plans import codes, gold, intermediate, model, raw as raw_layer, silver
+from lakestrata.plans import codes, gold, intermediate, model, raw as raw_layer, run, silver
 from lakestrata.queries.derived import oracle, raw
 from lakestrata.queries.registry import Source, query
-from lakestrata.session import cut_lineage
+from lakestrata.session import cut_lineage, shared_folder
+from lakestrata.sources.files import Lake
 
 
 def _rounded(value: str) -> str:
@@ -483,6 +484,100 @@ def retrofit_scoring_set(src: Source) -> DataFrame:
     return _scoring(src)
 
 
+# --- imputed dwellings, retrofit training and predictions ----------------------------------------------
+# Targets are rules of the features, hidden from a share of the dwellings: models that find the rules give the oracle's rows.
+
+_RULE_SURFACE = "1 + {type} + {home_state}"
+_RULE_HEATING = "CASE WHEN {gender} = 0 THEN 1 ELSE 6 END"
+_PLAIN = {c: c for c in ("type", "home_state", "gender")}
+_RULE_EMISSION = "CASE {h} WHEN 1 THEN 2 WHEN 2 THEN 5 WHEN 3 THEN 1 WHEN 4 THEN 3 WHEN 5 THEN 0 ELSE 4 END"
+_SMALL_MODELS = {
+    "surface": {"maxIter": 10, "stepSize": 0.5, "maxDepth": 3, "minInstancesPerNode": 1},
+    **{name: {"numTrees": 3, "maxDepth": 6, "featureSubsetStrategy": "all", "maxBins": 128} for name in ("production", "consumption", "emission")},
+}
+_SMALL_BOOST = {"maxIter": 3, "maxDepth": 3, "seed": 1}
+
+
+def _imputed_housing(src: Source, geography: DataFrame, facts: DataFrame) -> DataFrame:
+    """Dwellings whose surface and heating are known of three in four, completed by cross-fitted models, with grades."""
+    dwellings, respondents, works = _survey_tables(src)
+    owners = cut_lineage(silver.owners_clean(respondents, dwellings))
+    clean = silver.housing_clean(dwellings, respondents, works, geography)
+    frame = model.survey_features(owners, clean, facts, geography)
+    frame = cut_lineage(frame.withColumns({
+        "surface": F.when(F.col("id_owner") % 4 != 1, F.expr(_RULE_SURFACE.format(**_PLAIN))),
+        "heating_production": F.when(F.col("id_owner") % 4 != 3, F.expr(_RULE_HEATING.format(**_PLAIN))),
+    }))
+    grades = cut_lineage(model.certificate_feature_set(_certificates(src, geography)).withColumns({
+        "DPE_consumption": F.col("type") * 2 + F.col("hot_water_system"), "GES_emission": F.expr(_RULE_EMISSION.format(h="heating_production")),
+    }))
+    fitted = {t: model.fit_imputer(t, grades, _SMALL_MODELS) for t in ("DPE_consumption", "GES_emission")}
+    return cut_lineage(model.housing_imputed(frame, fitted, clean.columns, _SMALL_MODELS))
+
+
+_CODED = {
+    "type": "housing.type", "home_state": "(CASE WHEN home_state = 1 THEN 0 ELSE 1 END)", "gender": "(CASE WHEN o.gender = 1 THEN 0 ELSE 1 END)",
+}
+_IMPUTED_SQL = f"""{_FACTS_SQL}, {_CLEAN_HOUSING_SQL},
+    imputed AS (
+        SELECT DISTINCT housing.id_owner, housing.postal_code, housing.type, housing.construction_date, housing.heating_system,
+               {_RULE_HEATING.format(**_CODED)} AS heating_production, housing.hot_water_system,
+               {_RULE_SURFACE.format(**_CODED)} AS surface, housing.has_done_renov, housing.first_date_renov,
+               housing.type * 2 + housing.hot_water_system AS "DPE_consumption",
+               {_RULE_EMISSION.format(h='(' + _RULE_HEATING.format(**_CODED) + ')')} AS "GES_emission",
+               geography.department_number, geography.former_region_number
+        FROM o JOIN housing USING (id_owner) JOIN geography USING (postal_code)
+        JOIN facts ON facts.postal_code = housing.postal_code AND facts.year = housing.first_date_renov)"""
+IMPUTED_TABLES = (*PROFILE_TABLES, *FACT_TABLES, "survey")
+
+
+@query("table_housing_imputed", oracle(f", {_IMPUTED_SQL} SELECT * FROM imputed", *IMPUTED_TABLES))
+def housing_imputed(src: Source) -> DataFrame:
+    geography = _geography(src)
+    return _by_postal(_imputed_housing(src, geography, cut_lineage(_facts(src, geography))), geography)
+
+
+_TRAINING_SQL = f"""{_IMPUTED_SQL}, {_YEARLY_SQL},
+    wx AS (SELECT CAST(department_number AS INTEGER) AS d, year AS y, wind_speed, humidity, temp_degree FROM f13)
+    SELECT h.id_owner, h.type, construction_date, surface, heating_system, hot_water_system, heating_production, "DPE_consumption", "GES_emission",
+           {', '.join(f'w{k}.{m} AS {m}_{k}' for k in range(3) for m in ('humidity', 'wind_speed', 'temp_degree'))},
+           population, n_development_licence, n_construction_licence, n_destruction_licence, n_new_buildings,
+           h.department_number, has_done_renov
+    FROM imputed h JOIN facts f ON f.postal_code = h.postal_code AND f.year = h.first_date_renov
+    JOIN wx w0 ON w0.d = h.department_number AND w0.y = h.first_date_renov
+    JOIN wx w1 ON w1.d = h.department_number AND w1.y = h.first_date_renov - 1
+    JOIN wx w2 ON w2.d = h.department_number AND w2.y = h.first_date_renov - 2"""
+
+
+def _training(src: Source, geography: DataFrame, facts: DataFrame, weather: DataFrame) -> DataFrame:
+    return model.retrofit_training(_imputed_housing(src, geography, facts), facts, geography, weather)
+
+
+@query("table_retrofit_training", oracle(f", {_TRAINING_SQL}", *IMPUTED_TABLES, "weather", "neighbours"))
+def retrofit_training(src: Source) -> DataFrame:
+    geography = _geography(src)
+    weather = cut_lineage(silver.weather_yearly(raw(src, "weather"), raw(src, "neighbours")))
+    return _training(src, geography, cut_lineage(_facts(src, geography)), weather)
+
+
+@query("table_predicted_renov", oracle(
+    f", {_SCORING_SQL} SELECT * REPLACE ((surface = 1)::INTEGER AS has_to_renov) FROM scoring", *SCORING_TABLES))
+def predicted_renov(src: Source) -> DataFrame:
+    """A model learned where small dwellings were retrofitted, stored below a lake, loaded again and asked about all certificates."""
+    geography = _geography(src)
+    lake = Lake(src.spark, shared_folder(src.spark, "lake"), buckets=8)
+    weather = silver.weather_yearly(raw(src, "weather"), raw(src, "neighbours"))
+    stored = {
+        "Municipality": geography, "Municipality_info": _facts(src, geography), "Weather": weather, "DPE": _certificates(src, geography),
+    }
+    facts, weather = (lake.write(stored[name], "Silver", name) for name in ("Municipality_info", "Weather"))
+    for name in ("Municipality", "DPE"):
+        lake.write(stored[name], "Silver", name)
+    training = cut_lineage(_training(src, geography, facts, weather).withColumn("has_done_renov", (F.col("surface") == 1).cast("int")))
+    model.train_retrofit(training, _SMALL_BOOST).write().overwrite().save(lake.model_path("retrofit"))
+    return run.score_certificates(lake)
+
+
 # --- gold ------------------------------------------------------------------------------------------------
 
 _GOLD_MUNICIPALITY_SQL = f"""{_PROFILE_SQL},

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage, so that losing an executor never replays the past."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+class Folder:
+    """Small files in a folder that Spark reaches, wherever it lies."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._jvm, self.path = spark._jvm, path
+        self._at = self._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _file(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(self._at, name)
+
+    def names(self) -> list[str]:
+        return [s.getPath().getName() for s in self._fs.listStatus(self._at)] if self._fs.exists(self._at) else []
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self._file(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str) -> None:
+        """A file that is there whole or not at all; one of that name is an error."""
+        draft = self._file(f".{name}-{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if self._fs.exists(self._file(name)) or not self._fs.rename(draft, self._file(name)):
+            self._fs.delete(draft, False)
+            raise FileExistsError(f"{self.path}/{name}")
+
+    def remove(self, name: str) -> None:
+        self._fs.delete(self._file(name), True)

@@ -193,3 +193,52 @@ def test_stitch_carries_over_the_page_border(spark):
     df = spark.createDataFrame(lines, "src string, pos long, line string")
     got = {r.record for r in stitch_records(df, "src", "pos", "line", 4).collect()}
     assert got == {"a,bc,de,f", "g,h,i,j"}
+
+
+def test_lagged_panel_shuffles_once(spark):
+    panel = spark.createDataFrame([(e, y, float(e * y), None if y == 3 else "x") for e in (1, 2) for y in range(1, 7) if (e, y) != (2, 4)], "e int, y int, m double, s string")
+    got = joins.lagged_panel(panel, "e", "y", ["m", "s"], [0, 1, 2])
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert rows(got.select("e", "y", "m_0", "m_1", "m_2", "s_2")) == [
+        (1, 3, 3.0, 2.0, 1.0, "x"), (1, 4, 4.0, 3.0, 2.0, "x"), (1, 5, 5.0, 4.0, 3.0, None), (1, 6, 6.0, 5.0, 4.0, "x"), (2, 3, 6.0, 4.0, 2.0, "x")]
+    with pytest.raises(Exception, match="two panel rows"):
+        joins.lagged_panel(panel.union(panel), "e", "y", ["m"], [0, 1]).collect()
+
+
+def test_rows_of_a_hot_key_stay_where_they_are(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 4000).alias("k"), "id")
+    assert aggregate.heavy_keys(df, "k") == [-1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = aggregate.attach_group_size(df, "k", "n")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        want = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+        assert all(r.n == want[r.k] for r in got.collect()) and got.count() == 30_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot = plan.split("Union")[1].split("SortMergeJoin")[0]
+    assert "BroadcastHashJoin" in hot
+
+
+@pytest.mark.parametrize("share", [0.01, 0.2])
+def test_group_size_without_and_with_null_keys(spark, share):
+    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2 + [(None,)] * 9 + [("c",)], "k string")
+    assert rows(aggregate.attach_group_size(df, "k", "n", share)) == [("a", 6)] * 6 + [("b", 2)] * 2 + [("c", 1)]
+    assert aggregate.attach_group_size(df.limit(0), "k").count() == 0
+
+
+def test_buckets_of_ten_million_rows(spark):
+    from lakestrata.operators.ids import bucket_count, key_hash_bucket
+
+    df = spark.range(10_000_000).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+    buckets = bucket_count(10_000_000, 1 << 18)
+    sizes = [r["count"] for r in df.groupBy(key_hash_bucket(["k"], buckets).alias("b")).count().collect()]
+    assert buckets == 64 and len(sizes) == 64 and max(sizes) < 1.02 * 10_000_000 / 64
+
+
+def test_ids_depend_on_neither_buckets_nor_partitions(spark):
+    df = spark.range(5000).select((F.col("id") * 7).cast("string").alias("k"))
+    want = {r.k: r.n for r in dense_id(df, "n", buckets=1).collect()}
+    assert sorted(want.values()) == list(range(5000))
+    for again in (dense_id(df.repartition(7), "n", rows_per_bucket=100), dense_id(df.repartition(3, "k"), "n", buckets=4096), distinct_with_id(df.union(df), "n", None)):
+        assert {r.k: r.n for r in again.collect()} == want

@@ -142,3 +142,110 @@ def test_catalog_layers(spark):
     catalog.write(spark.range(3), "Gold", "numbers")
     assert catalog.write(spark.range(2), "Gold", "numbers").count() == 2
     spark.sql("DROP TABLE Gold.numbers")
+
+
+def test_raw_layer_run_with_every_kind_of_file(spark, tmp_path):
+    from lakestrata.plans import codes, run
+
+    cell = CELL.format(1, "Nombre de logements", "12") + CELL.format(2, "Nombre de logements", "5")
+    documents = spark.createDataFrame([("01004", f"<D>{cell}</D>"), ("01005", "no document")], f"{codes.DOCUMENT_CODE} string, {codes.DOCUMENT_TEXT} string")
+    documents.write.parquet(str(tmp_path / "documents"))
+    paths = {
+        "housings": str(tmp_path / "documents"), "weather": write(tmp_path / "w.csv", "department (code);Date;Température (°C)\n1;2020-01-05T10:00:00;2.5\n"),
+        "dpe_france_2021": write(tmp_path / "d.csv", "N°DPE,Année_construction\na,1980\na,1980\nb,x\n"),
+        "neighbouring_dep": write(tmp_path / "n.txt", "01:02\n"), "codebook": write(tmp_path / "b.csv", "Name;LABEL\nq;what\n"),
+    }
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
+    audit = {r.table_name: (r.n_rows, r.n_malformed) for r in run.build_raw(lake, paths).collect()}
+    assert audit == {"housings": (2, 0), "weather": (1, 0), "dpe_france_2021": (2, 1), "neighbouring_dep": (1, 0), "codebook": (1, 0)}
+    assert {tuple(r) for r in lake.read("Datalake", "housings").collect()} == {("01004", 12, 5), ("01005", 0, 0)}
+
+
+def test_counts_are_taken_by_the_write(spark, tmp_path):
+    """One read of the input for the table and its counts."""
+    from lakestrata.plans import run
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).mapInArrow(seen, "id bigint")
+    lake = Lake(spark, str(tmp_path))
+    assert run.write_counted(lake, df, "Silver", "T", F.count(F.lit(1)), F.max("id")) == [1000, 999]
+    assert reads.value == 1000 and lake.read("Silver", "T").count() == 1000
+
+
+def test_a_failing_write_leaves_the_old_version(spark, tmp_path):
+    fails = F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("bigint"))
+    create_layers(spark)
+    for lake, name in ((Lake(spark, str(tmp_path)), "T"), (Lake(spark), "t_old")):
+        first = lake.write(spark.range(3), "Silver", name)
+        with pytest.raises(Exception, match="no"):
+            lake.write(spark.range(10).select(fails.alias("id")), "Silver", name)
+        assert lake.read("Silver", name).count() == 3 and first.count() == 3
+    spark.sql("DROP TABLE Silver.t_old")
+
+
+def test_readers_keep_their_version_and_old_ones_go(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path), keep=1)
+    first = lake.write(spark.range(1), "Silver", "T")
+    lake.write(spark.range(2), "Silver", "T")
+    assert first.count() == 1 and lake.read("Silver", "T").count() == 2
+    lake.write(spark.range(3), "Silver", "T")
+    assert lake.read("Silver", "T").count() == 3 and len(list((tmp_path / "silver" / "t").glob("v-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        lake.read("Silver", "never")
+
+
+def test_tables_of_one_key_are_joined_where_they_lie(spark, tmp_path):
+    from lakestrata.plans import codes, gold
+
+    import fixtures as fx
+
+    lake = Lake(spark, str(tmp_path), buckets=4)
+    towns = fx.frame(spark, {"insee_code": "string", "id_municipality": "bigint"}, [("01001", 4)])
+    raw_rows = lake.write(fx.certificates(spark, {}, {}), "Datalake", "dpe_france_2021", bucket_by=[codes.BUCKET_KEYS["dpe_france_2021"]])
+    scores = fx.frame(
+        spark, {"id_dpe": "string", "surface": "int", "construction_date": "int", "heating_production": "int", "DPE_consumption": "int", "GES_emission": "int", "has_to_renov": "int"},
+        [("d0", 1, 1, 2, 0, 0, 1), ("d1", 3, 9, 1, 3, 3, 0)])
+    told = lake.write(scores, "Model", "predicted_renov", bucket_by=["id_dpe"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = gold.scored_certificates(raw_rows, told, towns)._jdf.queryExecution().executedPlan().toString()
+        joined = raw_rows.select(F.col("`N°DPE`").alias("id_dpe")).join(told, "id_dpe")
+        alone = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the join of the two large tables moves nothing; the one Exchange of each side is that of the towns' key
+    assert "Exchange hashpartitioning(id_dpe" not in plan and plan.count("SortMergeJoin") >= 1 and "Exchange" not in alone
+
+
+def test_record_lines_take_the_scan_alone(spark, tmp_path):
+    path = write(tmp_path / "l.csv", "a,b\n")
+    assert "Exchange" not in read_record_lines(spark, path)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_over_splits_and_files(spark, tmp_path):
+    """Splits of a few bytes, so that records, chunks and blocks cross them; the header stands in every file, in one of them twice."""
+    want = []
+    for k in range(3):
+        lines = ["id,t,u"]
+        for i in range(400):
+            key = f"{k}-{i}"
+            want.append((key, "x" * (i % 7), f"{i}"))
+            lines.append(f"{key},{'x' * (i % 7)}" + ("_\n" if i % 3 == 0 else "") + f",{i}")
+            if k == 1 and i == 200:
+                lines.append("id,t,u")
+        write(tmp_path / f"f{k}.csv", "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        got = sorted(map(tuple, read_broken_records(spark, str(tmp_path), min_fields=3).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted((a, b or None, c) for a, b, c in want) or got == sorted(want)
