@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakestrata.llm.common import spare
+from lakestrata.llm.common import spare, stored
 
 #: Spaced seeds: 1 = the token counts, 0 = it is ignored, so a substitution there goes unseen.
 MASKS = ("111011011", "110101111")
@@ -45,7 +45,7 @@ def _seeds(rows: DataFrame, words: str, keep: list[str], masks: list[tuple[str,
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 11,
+    docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 11, min_tokens: int = 1,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """``(doc_id, item_id, matched, aligned, first_token, last_token)``: one row per document and item that overlap.
@@ -56,10 +56,13 @@ def contamination(
     hold at least ``least`` equal ones (in the same proportion, rounded up). Of several
     alignments the one with most equal tokens is told.
 
+    Items of fewer than ``min_tokens`` tokens are left out: nearly every document holds an
+    item of a few common words, so a large corpus wants 5 or more here.
+
     Cost: one pass over the tokens, no shuffle before the hits; hits are reduced to
-    alignments map-side; only documents with a hit are read against them. The benchmark's
-    seeds and texts are broadcast if they were counted and are few, else joined by shuffle.
-    With 11 of 13 the seeds find every overlap there is, of items of any length; a looser
+    alignments map-side and kept. The texts are read once more, by the documents with a hit
+    alone: their alignments are broadcast if they were counted and are few, so no text is
+    shuffled, else joined by shuffle; so are the benchmark's seeds and texts. With 11 of 13 the seeds find every overlap there is, of items of any length; a looser
     ``window`` and ``least`` may have overlaps without a seed. Null or empty texts match
     nothing; repeated rows give one row; rows with a null id are ignored; other columns
     play no part.
@@ -67,17 +70,18 @@ def contamination(
     left = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     items = (
         benchmark.select(F.col(item_id).alias("item_id"), F.array_remove(tokens(F.col(item_text)), "").alias("item"))
-        .where("item_id is not null").distinct()
+        .where((F.col("item_id").isNotNull()) & (F.size("item") >= min_tokens)).distinct()
     )
     masks = _masks(sorted(r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n").between(1, SHORT - 1)).distinct().collect()))
     index = _seeds(items, "item", ["item_id"], masks, True).withColumnRenamed("pos", "item_pos").distinct()
     rows, size = index.count(), items.agg(F.sum(F.length(F.array_join("item", " ")))).first()[0] or 0
     small = F.broadcast if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else lambda x: x
     seen = _seeds(left.select("doc_id", tokens(F.col("text")).alias("words")), "words", ["doc_id"], masks, False)
-    hits = seen.join(small(index), "seed").groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.count(F.lit(1)).alias("seeds"))
+    hits = stored(seen.join(small(index), "seed").select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+    few = F.broadcast if hits.count() <= BROADCAST_ROWS else lambda x: x
 
     laid = (
-        left.join(hits, "doc_id").join(small(items), "item_id")
+        left.join(few(hits), "doc_id").join(small(items), "item_id")
         .withColumn("words", tokens(F.col("text")))
         .withColumn("low", F.greatest(F.lit(0), -F.col("shift")))
         .withColumn("high", F.least(F.size("item"), F.size("words") - F.col("shift")))
@@ -105,5 +109,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """``docs`` without the documents that overlap a benchmark item; all others stay as they are, rows with a null id too."""
     key = options.get("doc_id", "doc_id")
     mark = spare(docs, "dirty")
-    dirty = contamination(docs, benchmark, **options).select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(dirty, docs[key] == dirty[mark], "left_anti")
+    dirty = stored(contamination(docs, benchmark, **options).select(F.col("doc_id").alias(mark)).distinct())
+    few = F.broadcast if dirty.count() <= BROADCAST_ROWS else lambda x: x
+    return docs.join(few(dirty), docs[key] == dirty[mark], "left_anti")

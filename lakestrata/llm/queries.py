@@ -12,6 +12,8 @@ from lakestrata.llm.oracles import ORACLES  # noqa: F401
 from lakestrata.session import table
 
 END_ID = 2
+#: Shorter benchmark items are no evidence of a leak.
+LEAST_ITEM = 5
 
 
 def tokenizer_path() -> str:
@@ -22,7 +24,7 @@ def tokenizer_path() -> str:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that overlap."""
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_tokens=LEAST_ITEM)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ import struct
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,12 @@ from lakestrata.llm.common import shared_path, text_chunks, utf8
 
 BITS = 20  # frequencies add up to 2^BITS
 LOW = 1 << 31  # states are kept in [LOW, LOW << 32)
-LANES = 2048  # interleaved states of a full block
+LANES = 1024  # interleaved states of a full block
 BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
-_CACHE_BYTES = 96 << 20  # of words and ids that a task remembers
+_CACHE_BYTES = 128 << 20  # of words and ids that a worker remembers
 _ENTRY = 130  # bytes that keeping a word costs besides its own and its ids
 _STRETCH = 1 << 20  # bytes of text looked up at a time
 _TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation that may end a word; an apostrophe may open a run of letters
@@ -102,20 +102,53 @@ class Coder:
         return out.ravel()[: count - begin * lanes]
 
 
-class Words:
-    """Ids of texts as bytes, word by word: the tokenizer drops white space and never looks across it.
+class Words(dict):
+    """Ids of words as bytes, found when first asked for: the tokenizer drops white space and never looks across it.
 
-    The words of a stretch of texts that are not known yet go through the tokenizer joined
-    by blanks. Punctuation behind a letter is a run of its own, and ASCII letters are
-    lower-cased anyway, so such words share what their bare form has; letters that the
-    normalizer may turn into a letter and a mark stay with what follows them. What is known
-    is dropped when keys, ids and their keeping reach ``_CACHE_BYTES``.
+    Punctuation behind a letter is a run of its own, and ASCII letters are lower-cased
+    anyway, so such words share what their bare form has; letters that the normalizer may
+    turn into a letter and a mark stay with what follows them. A word of plain letters is
+    one run, which the model reads as it is; anything else takes the whole tokenizer. What
+    is known is kept in two generations of half ``_CACHE_BYTES`` each, keys, ids and their
+    keeping counted; words still in use are taken over into the younger one.
     """
 
     def __init__(self, tokenizer, kind: str) -> None:
-        self.tokenizer, self.kind, self.known, self.size = tokenizer, kind, {}, 0
+        super().__init__()
+        self.tokenizer, self.tokens, self.pack = tokenizer, tokenizer.model.tokenize, {2: "H", 4: "I"}[np.dtype(kind).itemsize]
+        self.old: dict[bytes, bytes] = {}
+        self.size = 0
         self.letters: dict[str, str] = {}  # letter → what the model reads for it; nothing where it has to be seen in its word
 
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._found(word)
+        if self.size > _CACHE_BYTES // 2:
+            self.old, self.size = dict(self), 0
+            self.clear()
+        self[word] = ids
+        self.size += len(word) + len(ids) + _ENTRY
+        return ids
+
+    def _found(self, word: bytes) -> bytes:
+        if word.isalpha():
+            low = word.lower()
+            return self._packed(t.id for t in self.tokens(word.decode())) if low == word else self[low]
+        bare = word.rstrip(_TAIL)
+        # special tokens are told before anything else
+        if bare and len(bare) < len(word) and b"<|" not in word and (bare[-1:].isalpha() or self._letter(bare[-4:].decode(errors="ignore")[-1:] or ".")):
+            return self[bare] + self[word[len(bare) :]]
+        text = word.decode()
+        if text.isalpha():
+            letters = list(map(self._letter, text))
+            if all(letters):
+                return self._packed(t.id for t in self.tokens("".join(letters)))
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _packed(self, ids) -> bytes:
+        return array(self.pack, ids).tobytes()
+
     def _letter(self, letter: str) -> str:
         if letter not in self.letters:
             plain = self.tokenizer.normalizer.normalize_str(letter)
@@ -124,67 +157,18 @@ class Words:
             self.letters[letter] = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)[0][0] if simple else ""
         return self.letters[letter]
 
-    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Some different words, each with its ids."""
-        seen, tokens, pack = [], self.tokenizer.model.tokenize, {2: "H", 4: "I"}[np.dtype(self.kind).itemsize]
-        for word in words:
-            # a word of plain letters is one run, which the model reads as it is
-            if word.isalpha():
-                text = word.decode()
-            else:
-                text = word.decode()
-                letters = [self._letter(x) for x in text] if text.isalpha() else [""]
-                if not all(letters):
-                    seen.append(text)
-                    continue
-                text = "".join(letters)
-            ids = [t.id for t in tokens(text)]
-            yield word, struct.pack(f"<{len(ids)}{pack}", *ids)
-        for at in range(0, len(seen), 2048):
-            some = seen[at : at + 2048]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begin = np.cumsum([0, *(len(w) + 1 for w in some)])
-            cut = np.searchsorted(np.array([s for s, _ in found.offsets], np.int64), begin).tolist()
-            ids, width = np.array(found.ids, self.kind).tobytes(), np.dtype(self.kind).itemsize
-            for word, a, b in zip(some, cut, cut[1:]):
-                yield word.encode(), ids[a * width : b * width]
-
-    def _learn(self, fresh: list[bytes]) -> None:
-        low = b" ".join(fresh).lower().split()
-        bare = [word.rstrip(_TAIL) for word in low]
-        for k, (word, short) in enumerate(zip(low, bare)):
-            if short.isalpha():
-                continue
-            # capitals take other marks than small letters, and special tokens are told by case
-            if not word.isascii() or b"<|" in word:
-                low[k] = word = fresh[k]
-                bare[k] = short = word.rstrip(_TAIL)
-            if len(short) != len(word) and (b"<|" in word or not (short[-1:].isalpha() or self._letter(short[-4:].decode(errors="ignore")[-1:] or "."))):
-                bare[k] = word
-        known = self.known
-        open_ = {b for b in bare if b not in known}
-        open_.update(w[len(b) :] for w, b in zip(low, bare) if len(w) != len(b) and w[len(b) :] not in known)
-        for word, ids in self._encode(list(open_)):
-            known[word] = ids
-            self.size += 2 * len(word) + _ENTRY
-        for word, whole, short in zip(fresh, low, bare):
-            known[word] = known[short] if len(short) == len(whole) else known[short] + known[whole[len(short) :]]
-        self.size += sum(map(len, fresh)) * 2 + _ENTRY * len(fresh)
-
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        if self.size > _CACHE_BYTES:
-            self.known, self.size = {}, 0
-        split = [text.split() for text in texts]
-        fresh = set(chain.from_iterable(split)).difference(self.known)
-        if fresh:
-            self._learn(list(fresh))
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        look = self.__getitem__
+        return [b"".join(map(look, text.split())) for text in texts]
+
+
+def _worker_state() -> dict:
+    return sys.modules.setdefault("_lakestrata_worker_state", types.ModuleType("_lakestrata_worker_state")).__dict__
 
 
 def worker_tokenizer(path: str):
-    """The worker's tokenizer, read once; nothing else outlives a task."""
-    held = sys.modules.setdefault("_lakestrata_worker_state", types.ModuleType("_lakestrata_worker_state")).__dict__
+    """The worker's tokenizer, read once."""
+    held = _worker_state()
     if path not in held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -193,6 +177,21 @@ def worker_tokenizer(path: str):
     return held[path]
 
 
+def worker_words(path: str, kind: str) -> Words:
+    """The words that the worker knows, from task to task of a tokenising stage."""
+    held = _worker_state()
+    if (path, kind) not in held:
+        held[path, kind] = Words(worker_tokenizer(path), kind)
+    return held[path, kind]
+
+
+def forget_words() -> None:
+    """What the stages behind the tokenising one do first: words are given back."""
+    held = _worker_state()
+    for key in [k for k in held if isinstance(k, tuple)]:
+        del held[key]
+
+
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabulary: int, part_bytes: int, doc_id: str, text: str) -> DataFrame:
     """``(part, row, first, doc_id, n_tokens, ids, seen)`` in ascending id order: parts follow each other, rows inside a part too.
 
@@ -205,7 +204,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabular
     names = ["part", "row", "first", "doc_id", "n_tokens", "ids", "seen"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, row, first = Words(worker_tokenizer(tokenizer), kind), TaskContext.get().partitionId(), 0, 0
+        words, part, row, first = worker_words(tokenizer, kind), TaskContext.get().partitionId(), 0, 0
         end, seen = np.array([end_id], kind).tobytes(), np.zeros(vocabulary, np.int64)
         for batch in batches:
             id_kind = batch.schema.field(0).type
@@ -268,6 +267,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vo
     arrow_docs = pa.list_(pa.struct([("doc_id", tokens.select("doc_id").limit(0).toArrow().schema.field(0).type), ("row", pa.int64()), ("offset", pa.int64()), ("n", pa.int64()), ("ends", pa.bool_())]))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         coder, held, index, size, at = Coder(freq), [], [], 0, None
 
         def block() -> pa.RecordBatch:
@@ -318,6 +318,7 @@ def read_tokens(spark: SparkSession, path: str, vocabulary: int = 49408) -> Data
     id_type = item["doc_id"].dataType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         coder = Coder(freq)
         for batch in batches:
             for k in range(batch.num_rows):

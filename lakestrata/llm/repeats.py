@@ -10,7 +10,10 @@ same key. Documents are dealt to blocks by a hash of their id, keys to shards:
    the shard answers which are the earliest of their kind and which share their key with
    other segments;
 3. a later copy of a segment is all repeated. The earliest one is sent in full where
-   windows of different segments may be equal, and the operator's ``compare`` finds them;
+   windows of different segments may be equal, and the operator's ``compare`` finds them.
+   A key with more than ``HOT_SEGMENTS`` different segments, as a passage that many documents
+   hold between different neighbours makes it, is parted: its windows are sent one by one, each
+   different one once per block, to the shard of the window's own hash;
 4. blocks receive the spans that are repeated.
 
 Messages are packed arrays, one row per block and shard that have something to say, so
@@ -34,7 +37,9 @@ from lakestrata.llm.common import mix64, utf8
 _PLACE = 20  # bits of a place inside a chunk
 _CHUNK = 1 << _PLACE  # places of a chunk
 _LAST = np.iinfo(np.int64).max  # the order of rows without an id
-_FIRST, _SEND, _LATER = 1, 2, 3
+_FIRST, _SEND, _LATER, _PART = 1, 2, 3, 4
+#: Different segments under one key that are compared in one place.
+HOT_SEGMENTS = 2048
 
 
 class Spec(NamedTuple):
@@ -251,7 +256,7 @@ def _answer_segments(shard: pa.Table) -> pa.Table:
     new = new_key | np.append(True, content[1:] != content[:-1])
     different = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
     state = np.empty(len(x), np.uint8)
-    state[order] = np.where(~new, _LATER, np.where(different > 1, _SEND, _FIRST))
+    state[order] = np.where(~new, _LATER, np.where(different > HOT_SEGMENTS, _PART, np.where(different > 1, _SEND, _FIRST)))
     return _messages([(origin, own, s.tobytes()) for (origin, _), s in zip(told, np.split(state, np.cumsum([len(p) for p in parts])[:-1]))])
 
 
@@ -283,20 +288,50 @@ def _send(block: pa.Table, answers: pa.Table, spec: Spec, shards: int) -> pa.Tab
         after |= (doc == entry.doc[entry.of]) & (pos > entry.pos[entry.of])
     gone = (state[entry.of] == _LATER) | after
     own = block.column("block")[0].as_py() if block.num_rows else 0
-    out = [(-1 - own, own, _spans(row[gone], pos[gone], pos[gone] + count[gone] + spec.window - 1))] if gone.any() else []
     # where only other documents count, all places of a segment in its earliest document are still open
-    at = np.flatnonzero((state[entry.of] == _SEND) & ~after & (doc == entry.doc[entry.of]))
-    for t, some in _cuts(shard[entry.of[at]]):
-        some = at[some]
+    open_ = ~after & (doc == entry.doc[entry.of])
+    at = np.flatnonzero(open_ & (state[entry.of] == _SEND))
+    parted, again = _windows(rows, spec, *(x[open_ & (state[entry.of] == _PART)] for x in (row, doc, pos, count)))
+    known = [(row[gone], pos[gone], pos[gone] + count[gone] + spec.window - 1), again]
+    out = [(-1 - own, own, _spans(*(np.concatenate(x) for x in zip(*known))))] if any(len(x[0]) for x in known) else []
+    sent = [(t, at[some], entry.key[entry.of[at[some]]]) for t, some in _cuts(shard[entry.of[at]])]
+    for t, some, keys in sent:
         texts = [rows[r].symbols[p : p + c + spec.window - 1] for r, p, c in zip(row[some].tolist(), pos[some].tolist(), count[some].tolist())]
         texts = [b" ".join(x) for x in texts] if spec.words else texts
-        head = np.empty(len(some), _SENT)
-        head["row"], head["doc"], head["pos"], head["count"], head["size"] = row[some], doc[some], pos[some], count[some], [len(x) for x in texts]
-        keys = entry.key[entry.of[some]].astype("<u8")
-        out.append((t, own, np.uint32(len(some)).tobytes() + head.tobytes() + keys.tobytes() + b"".join(texts)))
+        out.append((t, own, _packed(row[some], doc[some], pos[some], count[some], keys, texts)))
+    keys = np.array([p[0] for p in parted], np.uint64)
+    order = np.argsort(keys, kind="stable")
+    for t, some in _cuts(_shard_of(keys[order], shards)):
+        mine = [parted[k] for k in order[some].tolist()]
+        key, r, d, p, texts = zip(*mine)
+        out.append((t, own, _packed(r, d, p, np.ones(len(mine)), np.array(key, np.uint64), list(texts))))
     return _messages(out)
 
 
+def _packed(row, doc, pos, count, keys: np.ndarray, texts: list[bytes]) -> bytes:
+    head = np.empty(len(texts), _SENT)
+    head["row"], head["doc"], head["pos"], head["count"], head["size"] = row, doc, pos, count, [len(x) for x in texts]
+    return np.uint32(len(texts)).tobytes() + head.tobytes() + keys.astype("<u8").tobytes() + b"".join(texts)
+
+
+def _windows(rows: list[Row], spec: Spec, row: np.ndarray, doc: np.ndarray, pos: np.ndarray, count: np.ndarray) -> tuple[list[tuple], tuple]:
+    """The windows of segments one by one: those that come first in the block (key, row, doc, pos, text), and the spans of those that come again."""
+    first: dict[bytes, tuple[int, int]] = {}  # text → document, place
+    sent, again = [], ([], [], [])
+    for k in np.lexsort((pos, doc)).tolist():
+        r, d = int(row[k]), int(doc[k])
+        for p in range(int(pos[k]), int(pos[k] + count[k])):
+            text = rows[r].symbols[p : p + spec.window]
+            text = b" ".join(text) if spec.words else bytes(text)
+            place = first.setdefault(text, (d, p))
+            if place[0] < d or (spec.earlier_in_document and place < (d, p)):
+                for out, value in zip(again, (r, p, p + spec.window)):
+                    out.append(value)
+            elif place == (d, p) or not spec.earlier_in_document:
+                sent.append((xxhash.xxh3_64_intdigest(text), r, d, p, text))
+    return sent, tuple(np.array(x, np.int64) for x in again)
+
+
 class Sent(NamedTuple):
     """Segments sent to a shard: where from, and their texts."""
 

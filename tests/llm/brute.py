@@ -224,3 +224,65 @@ def trie(convs: dict[int, list[tuple]]) -> set[tuple]:
          sha(",".join(map(str, sorted(ends.get(node, [])))).encode()))
         for node, m in members.items()
     }
+
+
+BARE = re.compile(r"[A-Za-z0-9+/_=-]+")
+
+
+def secret_rows(docs: dict[int, tuple], copied: int = 3) -> dict[int, tuple]:
+    """(n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, n_shared, most_repos) of documents (text, owner)."""
+    names = ("assign", "access", "hex", "seen")
+    base = {d: base_secrets(t) for d, (t, _) in docs.items()}
+    values = {v for found in base.values() for *_, v in found}
+    spans = {}
+    for d, (text, _) in docs.items():
+        seen = [(m.start(), 3, m.end(), m[0]) for m in BARE.finditer(text or "") if len(m[0]) >= 12 and re.search("[0-9]", m[0]) and m[0] in values]
+        spans[d] = sorted(base[d] + [s for s in seen if not any(b[0] < s[2] and s[0] < b[2] for b in base[d])])
+    owners, repos = {}, {}
+    for d, (_, owner) in docs.items():
+        for *_, v in spans[d]:
+            owners.setdefault(v, set()).add(owner or "")
+            repos.setdefault(v, set()).add(d)
+    out = {}
+    for d in docs:
+        verdicts = ["example" if len(owners[v]) >= copied else "live" if len(owners[v]) == 1 else "shared" for *_, v in base[d]]
+        out[d] = (
+            *base_digest(docs[d][0]), ",".join(f"{names[k]}:{s}:{e}" for s, k, e, _ in spans[d]),
+            *(verdicts.count(x) for x in ("live", "example", "shared")), max((len(repos[v]) for *_, v in base[d]), default=0),
+        )
+    return out
+
+
+def water_fill(sizes: list[int], weights: list[int], max_epochs: int) -> list:
+    """Targets in exact fractions: who is above the cap is clamped to it, the rest is shared anew."""
+    from fractions import Fraction
+
+    left, free, target = Fraction(sum(sizes)), list(range(len(sizes))), [Fraction(0)] * len(sizes)
+    while free:
+        unit = left / sum(weights[i] for i in free)
+        over = [i for i in free if unit * weights[i] > max_epochs * sizes[i]]
+        for i in over or free:
+            target[i] = Fraction(max_epochs * sizes[i]) if over else unit * weights[i]
+        if not over:
+            break
+        left -= sum(target[i] for i in over)
+        free = [i for i in free if i not in over]
+    return target
+
+
+def mixture(docs: list[tuple], weights: tuple = (5, 2, 1), max_epochs: int = 3) -> dict:
+    """doc → (size, source_size, target, taken) of rows (doc, source, size, u): the first by ``u`` once more, the one at the edge in part."""
+    by = {}
+    for doc, source, size, u in docs:
+        by.setdefault(source, []).append((u, doc, size))
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    sizes = [sum(size for *_, size in by[s]) for s in names]
+    goals, out = water_fill(sizes, [weights[i % len(weights)] for i in range(len(names))], max_epochs), {}
+    for name, total, goal in zip(names, sizes, goals):
+        whole = goal // total if total else 0
+        left = round(goal) - whole * total
+        for _, doc, size in sorted(by[name]):
+            part = min(size, left)
+            left -= part
+            out[doc] = size, total, float(goal), int(whole * size + part)
+    return out

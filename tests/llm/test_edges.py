@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.llm import automaton, chat, decontam, language, mixing, near_vectors, queries, rans, secrets, simhash, suffixes
+from lakestrata.llm import automaton, chat, decontam, language, mixing, near_vectors, queries, rans, repeats, secrets, simhash, suffixes
 from lakestrata.llm.common import shared_path
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -81,6 +82,28 @@ def test_repeats_of_random_texts(spark, seed):
     assert {r[0]: tuple(r[1:]) for r in suffixes.remove_repeats(table, **small).collect()} == brute.byte_repeats(docs)
 
 
+@pytest.mark.parametrize("limit", [1, 5])
+def test_hot_keys_are_parted(spark, monkeypatch, limit):
+    """One passage in most documents between different neighbours, twice in some; no shard compares what it holds together."""
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", limit)
+    passage = prose(5, 40)
+    docs = {i: " ".join([prose(100 + i, 12), passage, prose(300 + i, 12)] * (2 if i % 9 == 0 else 1)) if i % 3 else prose(500 + i, 50) for i in range(90)}
+    table = spark.createDataFrame(list(docs.items()) + [(7, docs[7])], "doc_id bigint, text string")
+    small = {"block_bytes": 4000, "shard_bytes": 3000}
+    assert {r[0]: tuple(r[1:]) for r in automaton.remove_repeats(table, **small).collect()} == brute.word_repeats(docs)
+    assert {r[0]: tuple(r[1:]) for r in suffixes.remove_repeats(table, **small).collect()} == brute.byte_repeats(docs)
+
+
+def test_windows_of_hot_keys_are_sent_once_per_block():
+    spec = repeats.Spec(True, 20, 8, True)
+    words = [prose(i, 5).encode().split() + prose(99, 40).encode().split() for i in range(200)]
+    rows = [repeats.Row(i, b" ".join(w), w) for i, w in enumerate(words)]
+    row = np.arange(200)
+    sent, again = repeats._windows(rows, spec, row, row, np.zeros(200, np.int64), np.full(200, 26))
+    # 21 windows lie inside the passage and are sent by the first document alone, 5 reach into the words before it
+    assert len({w[4] for w in sent}) == len(sent) and len(sent) + len(again[0]) == 200 * 26 and len(again[0]) >= 199 * 21 and len(sent) > 21 + 200 * 3
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(0)
     texts = [bytes(rng.integers(97, 97 + k, n, dtype=np.uint8)) for k in (1, 2, 3, 20) for n in (1, 50, 51, 60, 90)] + [b"\0" * 60, b"\xff" * 55]
@@ -152,9 +175,32 @@ def test_mixing(spark, docs, clashing):
     assert words == {r.source: round(r.target) for r in found if r.target}
 
 
-def test_water_filling():
-    assert [float(t) for t in mixing.water_fill([100, 10, 890], [5, 2, 1], 3)] == [300, 30, 670]
-    assert mixing.water_fill([], [], 3) == [] and mixing.water_fill([0, 0], [1, 1], 3) == [0, 0]
+def test_water_filling(spark):
+    def targets(sizes, weights, cap):
+        rows = [(chr(97 + i // 26) + chr(97 + i % 26), n) for i, n in enumerate(sizes)]
+        found = mixing.water_fill(spark.createDataFrame(rows, "source string, size bigint"), weights, cap).orderBy("source").collect()
+        for r in found:
+            assert r.whole * r.source_size + r.need == round(r.target) and 0 <= r.need <= r.source_size
+        return [r.target for r in found]
+
+    assert targets([100, 10, 890], (5, 2, 1), 3) == [300, 30, 670]
+    assert targets([], (1,), 3) == [] and targets([0, 0], (1, 1), 3) == [0, 0]
+    rng = random.Random(3)
+    for n in (1, 7, 60):
+        sizes = [rng.choice((0, 1, 50, 10**6, 10**12)) + rng.randrange(9) for _ in range(n)]
+        for weights, cap in (((5, 2, 1), 3), ((1,), 2), ((7, 1), 1)):
+            want = brute.water_fill(sizes, [weights[i % len(weights)] for i in range(n)], cap)
+            assert targets(sizes, weights, cap) == [float(t) for t in want]
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_mixture_equals_the_plain_version(spark, docs, clashing, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
+    many = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 37).alias("source"), F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 11).cast("int")), " ").alias("text"))
+    for table in (many, clashing.where("doc_id is not null")):
+        rows = table.select("doc_id", "source", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.xxhash64(F.lit(17), "doc_id")).collect()
+        got = {r.doc_id: (r["size"], r.source_size, r.target, r.taken) for r in mixing.mix(table).collect()}
+        assert got == brute.mixture([tuple(r) for r in rows])
 
 
 def test_repeated_rows_share_the_edge(spark):
@@ -248,6 +294,7 @@ def test_decontamination(spark, rows, docs, clashing):
     bench = spark.createDataFrame([(1, changed), (2, prose(77, 30)), (3, None), (4, ""), (None, "x y"), (1, changed)], "item_id bigint, text string")
     found = {(r.doc_id, r.item_id) for r in decontam.contamination(clashing, bench).collect()}
     assert found == brute.overlaps(plain(rows), {1: changed, 2: prose(77, 30)}) == {(1, 1), (2, 1)}
+    assert decontam.contamination(docs, bench, min_tokens=41).count() == 0 and decontam.contamination(docs, bench, min_tokens=40).count() == 2
     assert decontam.contamination(docs.limit(0), bench).count() == 0 and decontam.contamination(docs, bench.limit(0)).count() == 0
     left = decontam.decontaminate(clashing, bench)
     assert left.columns == clashing.columns and left.count() == 12
@@ -273,10 +320,29 @@ def test_secrets(spark):
         text = next(t for d, t, _ in texts if d == r.doc_id)
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == brute.base_digest(text)
     by = {r.doc_id: r for r in rows}
-    assert by[2].spans == "seen:18:33,access:38:58" and by[1].n_live == 1 and by[1].n_example == 1 and by[5].n_example == 2
+    assert by[2].spans == "seen:18:33,access:38:58" and by[1].n_example == 1 and by[5].n_example == 2
+    # the password is pasted bare under a second owner
+    assert by[1].n_shared == 1 and by[1].n_live == 0 and by[1].most_repos == 3
     assert secrets.scan(table.limit(0)).count() == 0
 
 
+def test_secrets_of_texts_with_many_runs(spark):
+    """Over a thousand matches in a text, values pasted bare under many owners, runs of a megabyte."""
+    rng = random.Random(5)
+    pool = ["".join(rng.choice("abcXYZ019_/") for _ in range(rng.choice((11, 12, 20)))) for _ in range(40)]
+    docs = {}
+    for i in range(30):
+        parts = [rng.choice((f"token={v}", v, f"x {v};", "9" * rng.randint(1, 14), "AKIA" + "Z9" * rng.randint(5, 9))) for v in rng.choices(pool, k=600 if i % 10 == 0 else 5)]
+        docs[i] = (rng.choice((" ", "\n", ", ")).join(parts), rng.choice("abcd"))
+    table = spark.createDataFrame([(d, *t) for d, t in docs.items()], "doc_id bigint, text string, source string")
+    columns = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example", "n_shared", "most_repos")
+    assert {r.doc_id: tuple(r[c] for c in columns) for r in secrets.scan(table).collect()} == brute.secret_rows(docs)
+    started = time.time()
+    long = [(1, " ".join(str(100_000 + i) for i in range(150_000)), "a"), (2, "x" * 1_000_000, "a"), (3, " ".join(str(10**13 + i) for i in range(60_000)), "a"), (4, "token=" + "a1" * 500_000, "a")]
+    found = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(long, "doc_id bigint, text string, source string")).collect()}
+    assert found[4].n_assign == 1 and found[1].spans == found[2].spans == "" and found[3].n_hex == 0 and time.time() - started < 60
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(40, 8))

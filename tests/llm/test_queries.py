@@ -64,8 +64,10 @@ def test_simhash(spark, docs):
     assert told(spark, "op6_simhash", "fingerprint", "component_id") == brute.simhash_groups(docs)
 
 
-def test_secrets(spark, docs):
-    assert told(spark, "op7_secrets", "n_assign", "n_access", "n_hex", "base_sha256") == {k: brute.base_digest(t) for k, t in docs.items()}
+def test_secrets(spark):
+    docs = {r.doc_id: (r.text, r.source) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    columns = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example", "n_shared", "most_repos")
+    assert told(spark, "op7_secrets", *columns) == brute.secret_rows(docs)
 
 
 def test_suffix_array_dedup(spark, docs):
