@@ -215,7 +215,7 @@ _SIZED = """SELECT p_partkey, p_size, p_partkey % 4 <> 2 OR p_partkey = min(p_pa
 def impute_boosted(src: Source) -> DataFrame:
     """Missing size classes from one boosted model of all classes."""
     frame = _sized(src)
-    booster = models.boosted_classes("label", maxIter=10, stepSize=0.5, maxDepth=3, minInstancesPerNode=1)
+    booster = models.boosted_classes("label", maxIter=3, stepSize=1.0, maxDepth=3, minInstancesPerNode=1)
     model = models.train_classifier(frame, "size_class", ["p_size"], ["p_brand"], booster, first_class=1)
     return models.impute_target(frame, model, "size_class", ["p_size"], first_class=1).select("p_partkey", "p_size", "known", "size_class")
 
@@ -231,7 +231,7 @@ def boosted_multiclass(src: Source) -> DataFrame:
         "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("quantity"), F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
         "l_returnflag", F.when(F.col("l_orderkey") % 2 == 0, rule).alias("known_grade"),
     )
-    booster = models.boosted_classes("label", maxIter=12, stepSize=0.5, maxDepth=3, minInstancesPerNode=1)
+    booster = models.boosted_classes("label", maxIter=3, stepSize=1.0, maxDepth=3, minInstancesPerNode=1)
     model = models.train_classifier(frame, "known_grade", ["quantity", "discount"], ["l_returnflag"], booster)
     return models.predict(model, frame, ["quantity", "discount"], "grade").select("l_orderkey", "l_linenumber", "quantity", "grade")
 

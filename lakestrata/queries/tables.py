@@ -487,12 +487,12 @@ def retrofit_scoring_set(src: Source) -> DataFrame:
 # --- imputed dwellings, retrofit training and predictions ----------------------------------------------
 # Targets are rules of the features, hidden from a share of the dwellings: models that find the rules give the oracle's rows.
 
-_RULE_SURFACE = "1 + {type} + {home_state}"
+_RULE_SURFACE = "CASE WHEN {type} = 0 THEN 1 ELSE 3 END"
 _RULE_HEATING = "CASE WHEN {gender} = 0 THEN 1 ELSE 6 END"
-_PLAIN = {c: c for c in ("type", "home_state", "gender")}
+_PLAIN = {c: c for c in ("type", "gender")}
 _RULE_EMISSION = "CASE {h} WHEN 1 THEN 2 WHEN 2 THEN 5 WHEN 3 THEN 1 WHEN 4 THEN 3 WHEN 5 THEN 0 ELSE 4 END"
 _SMALL_MODELS = {
-    "surface": {"maxIter": 10, "stepSize": 0.5, "maxDepth": 3, "minInstancesPerNode": 1},
+    "surface": {"maxIter": 3, "stepSize": 1.0, "maxDepth": 2, "minInstancesPerNode": 1},
     **{name: {"numTrees": 3, "maxDepth": 6, "featureSubsetStrategy": "all", "maxBins": 128} for name in ("production", "consumption", "emission")},
 }
 _SMALL_BOOST = {"maxIter": 3, "maxDepth": 3, "seed": 1}
@@ -516,7 +516,7 @@ def _imputed_housing(src: Source, geography: DataFrame, facts: DataFrame) -> Dat
 
 
 _CODED = {
-    "type": "housing.type", "home_state": "(CASE WHEN home_state = 1 THEN 0 ELSE 1 END)", "gender": "(CASE WHEN o.gender = 1 THEN 0 ELSE 1 END)",
+    "type": "housing.type", "gender": "(CASE WHEN o.gender = 1 THEN 0 ELSE 1 END)",
 }
 _IMPUTED_SQL = f"""{_FACTS_SQL}, {_CLEAN_HOUSING_SQL},
     imputed AS (
