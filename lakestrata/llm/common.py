@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -65,6 +67,15 @@ def text_chunks(ids: list, texts: list[bytes | None], limit: int = CHUNK_BYTES)
         yield part_ids, part
 
 
+def give_back() -> None:
+    """Return to the system what earlier tasks of this worker have freed; called where a memory-hungry task begins."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads nearby values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

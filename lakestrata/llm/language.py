@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakestrata.llm.common import named
+from lakestrata.llm.common import give_back, named
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -175,6 +175,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     known = model.languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             found = [model.judge(t) if known and (t := x.as_py()) is not None else (UNKNOWN, 0.0, np.inf) for x in batch.column(batch.num_columns - 1)]
             names, scores, far = zip(*found) if found else ((), (), ())

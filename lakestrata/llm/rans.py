@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import shared_path, text_chunks, utf8
+from lakestrata.llm.common import give_back, shared_path, utf8
 
 BITS = 20  # frequencies add up to 2^BITS
 LOW = 1 << 31  # states are kept in [LOW, LOW << 32)
@@ -25,9 +25,8 @@ BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
-_CACHE_BYTES = 128 << 20  # of words and ids that a worker remembers
+_CACHE_BYTES = 48 << 20  # of words and ids that a worker remembers
 _ENTRY = 130  # bytes that keeping a word costs besides its own and its ids
-_STRETCH = 1 << 20  # bytes of text looked up at a time
 _TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation that may end a word; an apostrophe may open a run of letters
 
 
@@ -190,6 +189,7 @@ def forget_words() -> None:
     held = _worker_state()
     for key in [k for k in held if isinstance(k, tuple)]:
         del held[key]
+    give_back()
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabulary: int, part_bytes: int, doc_id: str, text: str) -> DataFrame:
@@ -204,17 +204,20 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabular
     names = ["part", "row", "first", "doc_id", "n_tokens", "ids", "seen"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words, part, row, first = worker_words(tokenizer, kind), TaskContext.get().partitionId(), 0, 0
         end, seen = np.array([end_id], kind).tobytes(), np.zeros(vocabulary, np.int64)
         for batch in batches:
             id_kind = batch.schema.field(0).type
-            for docs, texts in text_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _STRETCH):
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                docs, texts = some.column(0), some.column(1).to_pylist()
                 ids = [found + end for found in words.ids(texts)]
                 seen += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=vocabulary)
                 lengths = np.array([len(x) // len(end) for x in ids], np.int64)
                 before = first + np.cumsum(lengths) - lengths
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), pa.array(docs, id_kind), pa.array(lengths), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names,
+                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), docs, pa.array(lengths), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names,
                 )
                 row, first = row + len(ids), first + int(lengths.sum())
         if row:
@@ -227,7 +230,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabular
     return ordered.mapInArrow(run, f"part bigint, row bigint, first bigint, doc_id {id_type}, n_tokens bigint, ids binary, seen binary")
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vocabulary: int = 49408, part_bytes: int = 32 << 20, doc_id: str = "doc_id", text: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, vocabulary: int = 49408, part_bytes: int = 16 << 20, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every text, end it with ``end_id``, and write all ids below ``path`` in ascending id order.
 
     ``path/table`` holds the shared frequencies, counted over all tokens; ``path/blocks``
