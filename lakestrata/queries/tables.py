@@ -561,9 +561,9 @@ def retrofit_training(src: Source) -> DataFrame:
 
 
 @query("table_predicted_renov", oracle(
-    f", {_SCORING_SQL} SELECT * REPLACE ((surface = 1)::INTEGER AS has_to_renov) FROM scoring", *SCORING_TABLES))
+    f", {_SCORING_SQL} SELECT * REPLACE ((hot_water_system = 1)::INTEGER AS has_to_renov) FROM scoring", *SCORING_TABLES))
 def predicted_renov(src: Source) -> DataFrame:
-    """A model learned where small dwellings were retrofitted, stored below a lake, loaded again and asked about all certificates."""
+    """A model learned where dwellings with shared hot water were retrofitted, stored below a lake, loaded again and asked about all certificates."""
     geography = _geography(src)
     lake = Lake(src.spark, shared_folder(src.spark, "lake"), buckets=8)
     weather = silver.weather_yearly(raw(src, "weather"), raw(src, "neighbours"))
@@ -573,7 +573,7 @@ def predicted_renov(src: Source) -> DataFrame:
     facts, weather = (lake.write(stored[name], "Silver", name) for name in ("Municipality_info", "Weather"))
     for name in ("Municipality", "DPE"):
         lake.write(stored[name], "Silver", name)
-    training = cut_lineage(_training(src, geography, facts, weather).withColumn("has_done_renov", (F.col("surface") == 1).cast("int")))
+    training = cut_lineage(_training(src, geography, facts, weather).withColumn("has_done_renov", (F.col("hot_water_system") == 1).cast("int")))
     model.train_retrofit(training, _SMALL_BOOST).write().overwrite().save(lake.model_path("retrofit"))
     return run.score_certificates(lake)
 
