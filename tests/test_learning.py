@@ -8,6 +8,7 @@ import fixtures as fx
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from lakestrata.functions.stable import hash_split, key_bucket
 from lakestrata.ml import evaluate, features, models
 from lakestrata.plans import codes, run
@@ -162,3 +163,8 @@ def test_ranking_metrics(spark):
     assert found.log_loss == pytest.approx(-sum(map(math.log, (0.9, 0.6, 1 - 0.6, 1 - 0.2, 0.2))) / 5)
     with pytest.raises(Exception, match="outside"):
         evaluate.roc_points(spark.createDataFrame([(1, 1.5)], "y int, s double"), "y", "s").collect()
+
+
+def test_a_whole_quarter_of_the_parts_is_imputed(spark):
+    rows = contract.queries()["op_impute_boosted"](spark, contract.SMOKE_DIR).collect()
+    assert {r.p_partkey for r in rows if not r.known} == {r.p_partkey for r in rows if r.p_partkey % 4 == 2}
