@@ -7,6 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from lakestrata.ml import models
+from lakestrata.queries import tables
+from lakestrata.queries.registry import Source
 
 QUERIES = contract.queries()
 # The operators, and the table builders that are one plan (the others store tables in between).
@@ -58,3 +61,22 @@ def test_dense_id_reads_its_input_once(spark):
     rows = df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 300 and "ReusedExchange" in text.split("Initial Plan")[0]
+
+
+def test_areas_leave_the_facts_out_of_the_plan(spark):
+    """Of the files of licences, consumption and certificates only the one that ties departments to regions is read."""
+    plan = tables._areas(Source(spark, contract.SMOKE_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1 and "LeftOuter" not in plan
+
+
+def test_a_classifier_is_fitted_on_stored_features(spark):
+    seen = []
+
+    class Told(models.SoftmaxBooster):
+        def fit(self, df):
+            seen.append(df)
+            return super().fit(df)
+
+    rows = spark.range(40).selectExpr("double(id % 8) AS v", "string(id % 2) AS w", "int(id % 8 > 3) AS t")
+    models.train_classifier(rows, "t", ["v"], ["w"], Told("label", maxIter=1, minInstancesPerNode=1))
+    assert seen[0].columns == ["features", "label"] and "Scan ExistingRDD" in seen[0]._jdf.queryExecution().executedPlan().toString()
