@@ -18,7 +18,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: words in shingles of five, a similarity of 0.8 or more."""
+    """One document of each group of near-duplicates: words in shingles of five, a similarity of 0.8 or more.
+
+    SimHash in Gray order makes units, MinHash bands join those further apart, and the shingles decide each pair.
+    """
     return simhash.deduplicate(docs).select(*COLUMNS)
 
 

@@ -1,4 +1,4 @@
-"""Near copies by the exact Jaccard similarity of distinct word shingles; MinHash bands say where to look."""
+"""Near copies by the exact Jaccard similarity of distinct word shingles; SimHash groups and MinHash bands say where to look."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.llm.common import give_back, mix64, shingle_hashes, stored, utf8
 from lakestrata.llm.components import components
+from lakestrata.llm.simhash import gray_links, majority
 
 #: A pair at the bound of 0.8 shares none of 40 bands of 5 minima in 13 of 100 million cases, more similar ones less often.
 BANDS, MINIMA = 40, 5
@@ -76,12 +77,15 @@ def links(sets: list[np.ndarray], share: tuple[int, int]) -> np.ndarray:
 
 def near_texts(
     docs: DataFrame, width: int = 5, share: tuple[int, int] = (4, 5), seed: int = 42, part_rows: int = 4096, part_bytes: int = 16 << 20,
-    doc_id: str = "doc_id", text: str = "text",
+    radius: int = 3, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``(doc_id, component_id)``: documents linked by a Jaccard similarity of ``share`` or more over different shingles of ``width`` words.
 
-    Texts with the same shingles are one. Those that share a band of MinHash minima hang
-    on the smallest id there; in the components this makes, every pair that isn't joined
+    Texts with the same shingles are one. Those whose SimHash fingerprints over the
+    different shingles lie within ``radius`` bits are a unit, found in Gray order by
+    :func:`lakestrata.llm.simhash.gray_links`. A pair at the bound may lie further apart
+    (10 bits of 64 on average at 0.8), so units that share a band of MinHash minima hang
+    on the smallest id there as well; in the components this makes, every pair that isn't joined
     yet is decided on the shingles themselves (64-bit hashes), so no link is made below
     the bound. A component above ``part_rows`` texts or ``part_bytes`` of hashes is cut
     to parts, and every two parts meet in a task of their own.
@@ -99,8 +103,8 @@ def near_texts(
             sets = [shingle_set(t.as_py(), width, seed) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([bands(s) for s in sets], pa.list_(pa.int64())),
-            ], ["doc_id", "digest", "n", "bands"])
+                pa.array([majority(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64())),
+            ], ["doc_id", "digest", "n", "fp", "bands"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
@@ -114,13 +118,16 @@ def near_texts(
         child = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"a": first.take(pa.array(child)), "b": first.take(pa.array(label[child]))})
 
-    rows = stored(texts.mapInArrow(sketch, f"doc_id {kind}, digest binary, n bigint, bands array<bigint>"))
-    met = rows.where("doc_id is not null").select("doc_id", F.explode("bands").alias("band"))
-    low = met.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("band", "low")
-    loose = components(met.join(low, "band").where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")))
-
-    distinct = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"))
-    members = stored(distinct.join(loose, distinct["first"] == loose["node"]).select("digest", "first", "n", "component"))
+    rows = stored(texts.mapInArrow(sketch, f"doc_id {kind}, digest binary, n bigint, fp bigint, bands array<bigint>"))
+    distinct = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("fp").alias("fp"))
+    prints = stored(rows.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("wide", F.lit(b"")))
+    close = components(gray_links(prints, radius))
+    units = stored(prints.join(close, prints["first"] == close["node"], "left").select("fp", F.coalesce("component", "first").alias("unit")))
+    met = rows.where("doc_id is not null").join(units, "fp").select("unit", F.explode("bands").alias("band"))
+    low = met.groupBy("band").agg(F.min("unit").alias("low"), F.max("unit").alias("high")).where("low <> high").select("band", "low")
+    loose = components(met.join(low, "band").where("unit <> low").select(F.col("unit").alias("a"), F.col("low").alias("b")))
+    placed = units.join(loose, units["unit"] == loose["node"], "left").select("fp", F.coalesce("component", "unit").alias("component"))
+    members = stored(distinct.where("first is not null").join(placed, "fp").select("digest", "first", "n", "component"))
     sizes = (
         members.groupBy("component").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("hashes")).where("texts > 1")
         .select("component", F.greatest(F.ceil(F.col("texts") / part_rows), F.ceil(F.col("hashes") * 8 / part_bytes)).alias("parts"))

@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakestrata.llm import near_texts
 from lakestrata.llm.common import local_roots, mix64, shingle_hashes, spare, stored, utf8
 from lakestrata.llm.components import components
 
@@ -167,9 +166,16 @@ def near_groups(
     fingerprint 0, linked like any other. Repeated rows link to each other; rows with a
     null id get the component of their fingerprint. Other columns are ignored.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
     rows = stored(fingerprints(docs, width, seed, confirm[0] if confirm else None, doc_id, text))
     distinct = stored(rows.groupBy("fp", "wide").agg(F.min("doc_id").alias("first")))
+    roots = components(gray_links(distinct, radius, shard_rows, confirm))
+    named = distinct.join(roots, distinct["first"] == roots["node"], "left").select("fp", "wide", F.coalesce("component", "first").alias("component_id"))
+    return rows.join(named, ["fp", "wide"]).select("doc_id", "fp", "wide", "component_id")
+
+
+def gray_links(distinct: DataFrame, radius: int, shard_rows: int = 1024, confirm: tuple[int, int] | None = None) -> DataFrame:
+    """``(a, b)``: spanning forests of the stored ``(fp, wide, first)`` by links within ``radius`` bits, see :func:`near_groups`."""
+    kind = distinct.schema["first"].dataType.simpleString()
     keys = _shard_keys(distinct.count(), radius, shard_rows)
 
     def search(shard: pa.Table) -> pa.Table:
@@ -183,13 +189,10 @@ def near_groups(
         child = np.flatnonzero(label != np.arange(len(codes)))
         return pa.table({"a": first.take(pa.array(index.order[child])), "b": first.take(pa.array(index.order[label[child]]))})
 
-    edges = (
+    return (
         distinct.where("first is not null").select("fp", "wide", "first", F.explode(F.array(*keys)).alias("key")).select("fp", "wide", "first", "key.*")
         .groupBy("block", "lead").applyInArrow(search, f"a {kind}, b {kind}")
     )
-    roots = components(edges)
-    named = distinct.join(roots, distinct["first"] == roots["node"], "left").select("fp", "wide", F.coalesce("component", "first").alias("component_id"))
-    return rows.join(named, ["fp", "wide"]).select("doc_id", "fp", "wide", "component_id")
 
 
 def fp_hex(fp):
@@ -204,7 +207,9 @@ def deduplicate(docs: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
     (see :func:`lakestrata.llm.near_texts.near_texts`). Rows with a null id stay, and so do
     all rows that share the smallest id of a group.
     """
-    groups = near_texts.near_texts(docs, width=shingle, share=share, doc_id=doc_id, **options)
+    from lakestrata.llm.near_texts import near_texts  # which builds on this module
+
+    groups = near_texts(docs, width=shingle, share=share, doc_id=doc_id, **options)
     mark = spare(docs, "gone")
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(mark)).distinct()
     return docs.join(gone, docs[doc_id] == gone[mark], "left_anti")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import brute
 import pytest
 
-from lakestrata.llm import simhash
+from lakestrata.llm import near_texts, simhash
 
 
 def shingles(text: str) -> set:
@@ -50,3 +51,11 @@ def test_the_bound_is_exact(spark, part_rows):
                 docs.append((len(docs), " ".join(copy)))
     want = plain_kept(docs)
     assert kept(spark, docs, part_rows=part_rows) == want and len(docs) // 3 < len(want) < len(docs)
+
+
+def test_fingerprints_lead_to_links_without_any_band(spark, monkeypatch):
+    monkeypatch.setattr(near_texts, "bands", lambda shingles: np.zeros(0, np.int64))
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    docs = [(0, " ".join(words)), (1, " ".join(words + ["more"])), (2, " ".join(f"v{k}" for k in range(400)))]
+    assert kept(spark, docs) == plain_kept(docs) == {0, 2}
