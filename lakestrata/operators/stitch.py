@@ -133,41 +133,57 @@ def _chunk_starts(tables: DataFrame, limit: int, fan: int, low: int, high: int,
     return _down(inside, by, begins)
 
 
-def _pieces(lines: Column, start: Column, limit: int) -> Column:
-    """Record pieces of one chunk: position of the record's first line, glued text, is it all of the record."""
-    empty = F.array().cast(f"array<struct<record:{_POS},piece:string,whole:boolean>>")
-
-    def piece(now: Column, whole: Column) -> Column:
-        return F.array(F.struct(now["first"].alias("record"), now["text"].alias("piece"), whole.alias("whole")))
+def _ends(lines: Column, state: Column, limit: int) -> Column:
+    """Numbers (from 1) of the lines that complete a record, in order."""
 
+    # The numbers are gathered as text: an array would be copied entry by entry at every record.
     def add(acc: Column, line: Column) -> Column:
         gathered = acc["state"] + line["seps"]
         full = gathered >= limit
-        first = F.coalesce(acc["first"], line["pos"])
-        glued = F.when(acc["text"].isNull(), line["text"]).otherwise(
-            F.concat(F.left(acc["text"], F.length(acc["text"]) - 1), line["text"])
-        )
-        closed = F.array(F.struct(first.alias("record"), glued.alias("piece"), acc["own"].alias("whole")))
+        number = acc["number"] + 1
         return F.struct(
-            F.when(full, 0).otherwise(gathered - line["lost"]).alias("state"),
-            F.when(~full, first).alias("first"),
-            F.when(~full, glued).alias("text"),
-            (full | acc["own"]).alias("own"),
-            F.when(full, F.concat(acc["out"], closed)).otherwise(acc["out"]).alias("out"),
+            F.when(full, 0).otherwise(gathered - line["lost"]).alias("state"), number.alias("number"),
+            F.when(full, F.concat(acc["ends"], number.cast("string"), F.lit(","))).otherwise(acc["ends"]).alias("ends"),
         )
 
-    initial = F.struct(
-        start["state"].alias("state"), start["first"].alias("first"), F.lit(None).cast("string").alias("text"),
-        start["first"].isNull().alias("own"), empty.alias("out"),
-    )
+    initial = F.struct(state.alias("state"), F.lit(0).alias("number"), F.lit("").alias("ends"))
+    told = F.aggregate(lines, initial, add, lambda acc: F.split(acc["ends"], ","))
+    # what follows the last comma is empty
+    return F.transform(F.slice(told, 1, F.size(told) - 1), lambda n: n.cast("int"))
+
+
+def _glued(lines: Column) -> Column:
+    """Text of some lines in a row: the last character of the left part goes at each glue."""
     return F.aggregate(
-        lines, initial, add,
-        lambda acc: F.when(acc["text"].isNull(), acc["out"]).otherwise(
-            F.concat(acc["out"], piece(acc, F.lit(False)))
+        lines, F.lit(None).cast("string"),
+        lambda acc, line: F.when(acc.isNull(), line["text"]).otherwise(
+            F.concat(F.left(acc, F.length(acc) - 1), line["text"])
         ),
     )
 
 
+def _whole(lines: Column, ends: Column, start: Column) -> Column:
+    """Records that begin and end in the chunk: position of the first line, glued text."""
+    begins = F.concat(F.array(F.lit(0)), ends)
+    spans = F.arrays_zip(F.slice(begins, 1, F.size(ends)).alias("after"), ends.alias("end"))
+    # the first end closes what an earlier chunk began
+    spans = F.when(start["first"].isNull(), spans).otherwise(F.slice(spans, 2, F.size(ends)))
+    return F.transform(spans, lambda span: F.struct(
+        F.get(lines, span["after"])["pos"].alias("record"),
+        _glued(F.slice(lines, span["after"] + 1, span["end"] - span["after"])).alias("piece"),
+    ))
+
+
+def _edges(lines: Column, ends: Column, start: Column) -> Column:
+    """Pieces of records that cross the chunk's borders: position of the record's first line, glued text."""
+    open_, closes = start["first"].isNotNull(), F.size(ends) > 0
+    last = F.when(closes, F.element_at(ends, -1)).otherwise(0)
+    begun = F.when(open_ & ~closes, start["first"]).otherwise(F.get(lines, last)["pos"])
+    head = F.when(open_ & closes, F.struct(start["first"].alias("record"), _glued(F.slice(lines, 1, F.get(ends, F.lit(0)))).alias("piece")))
+    tail = F.when(F.size(lines) > last, F.struct(begun.alias("record"), _glued(F.slice(lines, last + 1, F.size(lines))).alias("piece")))
+    return F.array_compact(F.array(head, tail))
+
+
 def stitch_records(
     lines: DataFrame, source: str, order: str, text: str, min_fields: int = 245,
     separator: str = ",", chunk_lines: int = 1024, block_chunks: int = 256, skip_blank: bool = True,
@@ -221,14 +237,16 @@ def stitch_records(
     chunk_starts = _chunk_starts(
         chunk_tables.drop("_headed"), limit, max(2, block_chunks), ends[0] or 0, ends[1] or 0, blocks
     ).select("_source", "_block", F.col("key").alias("_chunk"), F.col("start").alias("_start"))
-    pieces = (
+    replayed = (
         counted.groupBy(*chunk).agg(in_order(*bare, F.col("text")).alias("_lines"))
         .join(chunk_starts, chunk)
-        .select("_source", "_block", "_chunk", F.inline(_pieces(F.col("_lines"), F.col("_start"), limit)))
+        .select("_source", "_block", "_chunk", "_lines", "_start", _ends(F.col("_lines"), F.col("_start")["state"], limit).alias("_ends"))
     )
+    told = F.col("_lines"), F.col("_ends"), F.col("_start")
+    whole = replayed.select("_source", F.inline(_whole(*told)))
     # Only the few records that cross a chunk border move again.
     crossing = (
-        pieces.where(~F.col("whole")).groupBy("_source", "record")
+        replayed.select("_source", "_block", "_chunk", F.inline(_edges(*told))).groupBy("_source", "record")
         .agg(F.sort_array(F.collect_list(F.struct("_block", "_chunk", "piece"))).alias("_parts"))
         .select("_source", "record", F.aggregate(
             "_parts", F.lit(None).cast("string"),
@@ -238,7 +256,7 @@ def stitch_records(
         ).alias("piece"))
     )
     return (
-        pieces.where("whole").select("_source", "record", "piece").unionByName(crossing)
+        whole.unionByName(crossing)
         .select(
             F.col("_source").alias(source), (F.col("record") if blocks else F.col("record")["row"]).alias("record_start"), F.col("piece").alias("record")
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,19 @@ def test_stitch_equals_line_by_line(spark, chunk, block, fields):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_stitch_work_follows_the_lines_of_a_chunk(spark):
+    """Records found are not copied again at each record that follows in the chunk."""
+    n = 1 << 14
+    lines = spark.range(n).selectExpr("0 AS src", "id AS pos", "IF(id % 2 = 0, concat(id, ',_'), concat(',', id)) AS line")
+    took = {}
+    for chunk in (256, 256, n):  # the first one warms up
+        begin = time.monotonic()
+        got = stitch_records(lines, "src", "pos", "line", 3, chunk_lines=chunk).collect()
+        took[chunk] = time.monotonic() - begin
+        assert {tuple(r) for r in got} == {(0, i, f"{i},,{i + 1}") for i in range(0, n, 2)}
+    assert took[n] < 3 * took[256] + 3
+
+
 def test_stitch_carries_over_the_page_border(spark):
     page = 10_000
     lines = [("f", 1 * page + 1, "a,b,"), ("f", 1 * page + 2, "c,d\r"), ("f", 2 * page + 1, "e,f"), ("f", 2 * page + 2, "g,h,i,j")]
