@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
@@ -23,6 +24,7 @@ LOW = 1 << 31  # states are kept in [LOW, LOW << 32)
 LANES = 1024  # interleaved states of a full block
 BLOCK = 1 << 18  # tokens of a block
 CHECK_STEPS = 128  # steps between checkpoints
+PIECE_BYTES = 8 << 20  # text whose different words are looked up together
 MAGIC = b"LSR1"
 _HEAD = "<4sIIIII"  # magic, tokens, lanes, words, checkpoints, checksum of what follows
 _CACHE_BYTES = 48 << 20  # of words and ids that a worker remembers
@@ -101,64 +103,129 @@ class Coder:
         return out.ravel()[: count - begin * lanes]
 
 
-class Words(dict):
-    """Ids of words as bytes, found when first asked for: the tokenizer drops white space and never looks across it.
+def _gather(flat: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``at`` of lists that lie in a row, again in a row, and their lengths."""
+    starts, n = np.cumsum(lengths, dtype=np.int32) - lengths, lengths[at]
+    ends = np.cumsum(n, dtype=np.int32)
+    places = np.repeat(starts[at] - (ends - n), n)
+    places += np.arange(len(places), dtype=np.int32)
+    return flat[places], n
 
-    Punctuation behind a letter is a run of its own, and ASCII letters are lower-cased
-    anyway, so such words share what their bare form has; letters that the normalizer may
-    turn into a letter and a mark stay with what follows them. A word of plain letters is
-    one run, which the model reads as it is; anything else takes the whole tokenizer. What
-    is known is kept in two generations of half ``_CACHE_BYTES`` each, keys, ids and their
-    keeping counted; words still in use are taken over into the younger one.
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """An array of strings as bytes."""
+    _, offsets, data = words.buffers()
+    if not len(words) or data is None:
+        return [b""] * len(words)
+    at, data = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].tolist(), data.to_pybytes()
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
+
+class _Letters(dict):
+    """What the model reads for a letter, by code point; NUL where the letter has to be seen in its word."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, code: int) -> str:
+        letter = chr(code)
+        plain = self.tokenizer.normalizer.normalize_str(letter)
+        # Latin letters; the normalizer makes a letter and a mark of some
+        simple = letter < "\u0250" and letter.isalpha() and len(plain) == 1 and plain.isalpha()
+        self[code] = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)[0][0] if simple else "\0"
+        return self[code]
+
+
+class Words:
+    """Ids of runs as bytes, found when first asked for: the tokenizer drops white space and never looks across it.
+
+    The different words of a piece of text are told by Arrow, so that each is looked at once
+    in a piece, however often it occurs. Punctuation behind a letter is a run of its own,
+    and ASCII letters are lower-cased anyway, so a word is one run or two; letters that the
+    normalizer may turn into a letter and a mark stay with what follows them. Plain letters
+    go to the model, which reads them as they are; anything else takes the whole tokenizer.
+    What is known is kept in two generations of half ``_CACHE_BYTES`` each, runs, ids and
+    their keeping counted; runs still in use are taken over into the younger one.
     """
 
     def __init__(self, tokenizer, kind: str) -> None:
-        super().__init__()
-        self.tokenizer, self.tokens, self.pack = tokenizer, tokenizer.model.tokenize, {2: "H", 4: "I"}[np.dtype(kind).itemsize]
+        self.tokenizer, self.tokens, self.letters = tokenizer, tokenizer.model.tokenize, _Letters(tokenizer)
+        self.kind, self.pack = kind, {2: "H", 4: "I"}[np.dtype(kind).itemsize]
+        self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.size = 0
-        self.letters: dict[str, str] = {}  # letter → what the model reads for it; nothing where it has to be seen in its word
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self._found(word)
-        if self.size > _CACHE_BYTES // 2:
-            self.old, self.size = dict(self), 0
-            self.clear()
-        self[word] = ids
-        self.size += len(word) + len(ids) + _ENTRY
-        return ids
 
-    def _found(self, word: bytes) -> bytes:
+    def _parted(self, word: bytes) -> tuple[bytes, bytes]:
+        """What of a word is looked up: a run, and the punctuation behind it."""
         if word.isalpha():
-            low = word.lower()
-            return self._packed(t.id for t in self.tokens(word.decode())) if low == word else self[low]
+            return word.lower(), b""
         bare = word.rstrip(_TAIL)
         # special tokens are told before anything else
-        if bare and len(bare) < len(word) and b"<|" not in word and (bare[-1:].isalpha() or self._letter(bare[-4:].decode(errors="ignore")[-1:] or ".")):
-            return self[bare] + self[word[len(bare) :]]
-        text = word.decode()
-        if text.isalpha():
-            letters = list(map(self._letter, text))
-            if all(letters):
-                return self._packed(t.id for t in self.tokens("".join(letters)))
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _packed(self, ids) -> bytes:
-        return array(self.pack, ids).tobytes()
-
-    def _letter(self, letter: str) -> str:
-        if letter not in self.letters:
-            plain = self.tokenizer.normalizer.normalize_str(letter)
-            # Latin letters; the normalizer makes a letter and a mark of some
-            simple = letter < "\u0250" and letter.isalpha() and len(plain) == 1 and plain.isalpha()
-            self.letters[letter] = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)[0][0] if simple else ""
-        return self.letters[letter]
+        if bare and len(bare) < len(word) and b"<|" not in word and (bare[-1:].isalpha() or self._plain(bare[-4:].decode(errors="ignore")[-1:])):
+            return bare.lower() if bare.isalpha() else bare, word[len(bare) :]
+        return word, b""
+
+    def _plain(self, text: str) -> str:
+        """What the model reads for a run of simple letters; nothing for any other."""
+        read = text.translate(self.letters) if text.isalpha() else "\0"
+        return "" if "\0" in read else read
+
+    def _found(self, run: bytes) -> bytes:
+        text = run.decode()
+        read = text if run.isalpha() else self._plain(text)
+        return array(self.pack, [t.id for t in self.tokens(read)] if read else self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _looked_up(self, runs: list[bytes]) -> list[bytes]:
+        """Ids of different runs."""
+        ids = list(map(self.young.get, runs))
+        away = [i for i, x in enumerate(ids) if x is None]
+        for i in away:
+            run = runs[i]
+            found = self.old.get(run)
+            if found is None:
+                found = self._found(run)
+            if self.size > _CACHE_BYTES // 2:
+                self.young, self.old, self.size = {}, self.young, 0
+            ids[i] = self.young[run] = found
+            self.size += len(run) + len(found) + _ENTRY
+        return ids
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and how many each has."""
+        number: dict[bytes, int] = {b"": 0}
+        runs, tails = [], []
+        for run, tail in map(self._parted, words):
+            runs.append(number.setdefault(run, len(number)))
+            tails.append(number.setdefault(tail, len(number)) if tail else 0)
+        packed = [b"", *self._looked_up(list(number)[1:])]
+        lengths = np.fromiter(map(len, packed), np.int32, len(packed)) // np.dtype(self.kind).itemsize
+        flat, n = _gather(np.frombuffer(b"".join(packed), self.kind), lengths, np.array([runs, tails], np.int32).T.ravel())
+        return flat, n.reshape(-1, 2).sum(1, dtype=np.int32)
+
+    def coded(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts (binary, none of them null) in a row, each text's followed by ``end``, and how many each text has."""
+        parted = pc.ascii_split_whitespace(texts.cast(pa.binary()).view(pa.string()))
+        bounds = np.asarray(parted.offsets) - parted.offsets[0].as_py()
+        told = parted.flatten().dictionary_encode()
+        flat, lengths = self._words(_listed(told.dictionary))
+        at = np.insert(told.indices.to_numpy(), bounds[1:], len(lengths))
+        ids, n = _gather(np.append(flat, np.array([end], self.kind)), np.append(lengths, np.int32(1)), at)
+        return ids, np.add.reduceat(n, bounds[:-1] + np.arange(len(texts)), dtype=np.int64)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        look = self.__getitem__
-        return [b"".join(map(look, text.split())) for text in texts]
+        """Ids of each text."""
+        ids, n = self.coded(pa.array(texts, pa.binary()), 0)
+        return [ids[stop - k : stop - 1].tobytes() for k, stop in zip(n, np.cumsum(n))]
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows in order, cut where their texts (column 1) reach ``PIECE_BYTES`` together."""
+    before = np.cumsum(np.asarray(pc.binary_length(batch.column(1)), np.int64)) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
 
 
 def _worker_state() -> dict:
@@ -206,20 +273,19 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str, vocabular
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         words, part, row, first = worker_words(tokenizer, kind), TaskContext.get().partitionId(), 0, 0
-        end, seen = np.array([end_id], kind).tobytes(), np.zeros(vocabulary, np.int64)
+        size, seen = np.dtype(kind).itemsize, np.zeros(vocabulary, np.int64)
         for batch in batches:
             id_kind = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                docs, texts = some.column(0), some.column(1).to_pylist()
-                ids = [found + end for found in words.ids(texts)]
-                seen += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=vocabulary)
-                lengths = np.array([len(x) // len(end) for x in ids], np.int64)
-                before = first + np.cumsum(lengths) - lengths
+            for some in _pieces(batch):
+                ids, lengths = words.coded(some.column(1), end_id)
+                seen += np.bincount(ids, minlength=vocabulary)
+                stops = np.cumsum(lengths)
+                offsets = np.concatenate([[0], stops * size])
+                packed = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(row, row + len(ids))), pa.array(before), docs, pa.array(lengths), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names,
+                    [pa.array(np.full(len(lengths), part, np.int64)), pa.array(np.arange(row, row + len(lengths))), pa.array(first + stops - lengths), some.column(0), pa.array(lengths), packed, pa.nulls(len(lengths), pa.binary())], names,
                 )
-                row, first = row + len(ids), first + int(lengths.sum())
+                row, first = row + len(lengths), first + int(stops[-1])
         if row:
             used = np.flatnonzero(seen)
             told = used.astype("<i8").tobytes() + seen[used].astype("<i8").tobytes()

@@ -279,6 +279,22 @@ def test_letters_before_punctuation_match_the_whole_tokenizer(monkeypatch):
         assert [np.frombuffer(ids, "<u2").tolist() for ids in words.ids([t.encode() for t in some])] == want
 
 
+def test_runs_of_a_piece_are_found_once(monkeypatch):
+    """However often a word comes and however little is remembered."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(rans, "_CACHE_BYTES", 1 << 10)
+    tokenizer, asked = Tokenizer.from_file(queries.tokenizer_path()), []
+    words, found = rans.Words(tokenizer, "<u2"), rans.Words._found
+    monkeypatch.setattr(rans.Words, "_found", lambda self, run: asked.append(run) or found(self, run))
+    names = [f"w{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(100)]
+    texts = ["", " \n", *(" ".join(names).title() + ", \t" for _ in range(20)), "\x0bé\x0c", " ".join(f"{n}!" for n in names)]
+    got = words.ids([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted({*(n.encode() for n in names), "é".encode(), b",", b"!"})
+    assert words.ids([b"", b" "]) == [b"", b""] and words.ids([]) == []
+
+
 def test_language(spark, docs, clashing):
     nothing = language.learn(docs.limit(0))
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
