@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.llm import automaton, chat, decontam, language, mixing, near_vectors, queries, rans, repeats, secrets, simhash, suffixes
-from lakestrata.llm.common import shared_path
+from lakestrata.llm.common import shared_path, stored
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CLASH = ("fp", "block", "words", "size", "u", "dirty", "gone", "mix_size", "letters", "v", "parts", "target", "row", "a.b")
@@ -373,6 +373,59 @@ def test_near_vectors(spark):
     assert near_vectors.near_vectors(table.limit(0)).count() == 0
 
 
+def clustered(rows: int, width: int = 8) -> dict[int, list]:
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(rows // 8, width))
+    near = base[rng.integers(0, len(base), rows - len(base) - 1)] + rng.normal(size=(rows - len(base) - 1, width)) * 0.2
+    return {i: v.tolist() for i, v in enumerate([*base, *near, near[0]])}
+
+
+def test_near_vectors_of_many_slabs_are_not_copied_for_each(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "HELD", 2)
+    monkeypatch.setattr(near_vectors, "SLAB_TILES", 2)
+    rows, plans = clustered(600), []
+
+    def watched(df):
+        out = stored(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(near_vectors, "stored", watched)
+    table = spark.createDataFrame(list(rows.items()), "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors.near_vectors(table, tile_rows=16).collect()}
+    assert got == brute.vector_links(rows)
+    # about 20 slabs meet: their rows are read where they are stored, and dealt out once
+    assert any("CartesianProduct" in plan for plan in plans) and not any("explode" in plan for plan in plans)
+    assert sum(plan.count("shufflepartitionidpassthrough") > 0 for plan in plans) == 1
+
+
+def test_near_vectors_with_one_hash(spark, monkeypatch):
+    rows = {0: [1.0, 0.0], 1: [0.99, 0.01], 2: [0.0, 1.0], 3: [-1.0, 0.0], 4: [1.0, 0.0]}
+    other = near_vectors._hash
+    monkeypatch.setattr(near_vectors, "_hash", lambda v, seed: other(v, seed) if seed else F.lit(7).cast("bigint") + F.size(v) * 0)
+    table = spark.createDataFrame(list(rows.items()), "vec_id bigint, embedding array<float>")
+    exact = {r.vec_id: r.embedding for r in table.collect()}
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors.near_vectors(table).collect()} == brute.vector_links(exact)
+
+
+def test_tile_links():
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 16))
+    sides = [base[rng.integers(0, 12, n)] + rng.normal(size=(n, 16)) * np.repeat([0.05, 0.3], n // 2)[:, None] for n in (1400, 900)]
+    slabs = []
+    for k, rows in enumerate(sides):
+        order, ends = near_vectors.neighbourhoods(rows)
+        sides[k] = rows[order]
+        slabs.append(near_vectors.slab_of(sides[k], ends))
+    assert len(slabs[0].ends) > 2
+    for bound in (0.95, 0.5, -0.2):
+        a, b = (near_vectors.unit_rows(x) for x in sides)
+        want = set(zip(*(x.tolist() for x in np.nonzero(np.einsum("id,jd->ij", a, b) >= bound))))
+        for share in (0.0, 1.0):
+            found = [(i, j) for left, right in near_vectors.tile_links(*slabs, bound, share) for i, j in zip(left.tolist(), right.tolist())]
+            assert len(found) == len(set(found)) and set(found) == want
+
+
 def test_quantisation_bound_is_rigorous():
     rng = np.random.default_rng(1)
     x = near_vectors.unit_rows(rng.normal(size=(300, 33)) * np.exp(rng.normal(size=(300, 33))))
